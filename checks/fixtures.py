@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.functions.decimals import encode_decimal
+from sluiceway.functions.decimals import encode_columns
 from sluiceway.functions.expressions import text_to_bytes
 from sluiceway.operators.change_events import routed
 from sluiceway.operators.products import with_discount
@@ -121,11 +121,9 @@ def raw_products(products: DataFrame) -> DataFrame:
     return products.drop("seq", "discount").withColumns(extra)
 
 
-def row_image() -> Column:
-    return F.struct(*(
-        encode_decimal(F.col(name)).alias(name) if name in DECIMAL_COLUMNS else F.col(name)
-        for name in PRODUCT_COLUMNS
-    ))
+def row_images(products: DataFrame) -> DataFrame:
+    """Products as change messages carry them: decimals as base64 text."""
+    return encode_columns(products, DECIMAL_COLUMNS)
 
 
 def _message(after: Column | None, before: Column | None, op: Column | str) -> Column:
@@ -148,12 +146,12 @@ def change_topic(products: DataFrame, orders_every: int | None = None) -> DataFr
         F.when(kind == 7, "{bad")
         .when(kind == 8, F.lit(None))
         .when(kind == 9, _message(None, F.struct("id"), "d"))
-        .otherwise(_message(row_image(), None, op))
+        .otherwise(_message(F.struct(*PRODUCT_COLUMNS), None, op))
     )
     server, schema, name = CHANGE_TOPIC
     other = F.col("seq") % orders_every == 0 if orders_every else F.lit(False)
     source = F.when(other, "orders").otherwise(name)
-    rows = products.select(
+    rows = row_images(products).select(
         text_to_bytes(F.col("seq").cast("string")).alias("key"),
         text_to_bytes(value).alias("value"),
         (F.col("seq") % 4).cast("int").alias("partition"),

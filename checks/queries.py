@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from checks import fixtures as fx
 from checks.scratch import fresh_folder
-from sluiceway.functions.decimals import decode_decimal, encode_decimal
+from sluiceway.functions.decimals import decode_columns, encode_columns
 from sluiceway.functions.expressions import (
     bytes_to_text,
     discount_percent,
@@ -250,12 +250,12 @@ def cdc_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cdc_decode_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.decoded(fx.part_products(spark, sf_dir).select(fx.row_image().alias("i")).select("i.*"))
+    return changes.decoded(fx.row_images(fx.part_products(spark, sf_dir)).select(*PRODUCT_COLUMNS))
 
 
 @query
 def cdc_decode_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = fx.part_products(spark, sf_dir).select(fx.row_image().alias("i")).select("i.*")
+    images = fx.row_images(fx.part_products(spark, sf_dir))
     return changes.decoded(images, signed=False).select("id", *DECIMAL_COLUMNS)
 
 
@@ -267,14 +267,13 @@ def cdc_decode_decimals_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def decimal_codec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("l_extendedprice").cast(LAKE_DECIMAL)
-    signed = F.when(F.col("l_linenumber") % 2 == 0, -value).otherwise(value)
-    small = F.col("l_discount").cast(LAKE_DECIMAL) - F.col("l_tax").cast(LAKE_DECIMAL)
-    return fx.table(spark, sf_dir, "lineitem").select(
+    values = fx.table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        decode_decimal(encode_decimal(signed)).alias("price"),
-        decode_decimal(encode_decimal(small)).alias("margin"),
+        F.when(F.col("l_linenumber") % 2 == 0, -value).otherwise(value).alias("price"),
+        (F.col("l_discount").cast(LAKE_DECIMAL) - F.col("l_tax").cast(LAKE_DECIMAL)).alias("margin"),
     )
+    return decode_columns(encode_columns(values, ["price", "margin"]), ["price", "margin"])
 
 
 # -- streams ----------------------------------------------------------------------

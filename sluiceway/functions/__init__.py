@@ -1,6 +1,11 @@
 """Column functions."""
 
-from sluiceway.functions.decimals import decode_columns, decode_decimal, encode_decimal
+from sluiceway.functions.decimals import (
+    decode_columns,
+    decode_decimal,
+    encode_columns,
+    encode_decimal,
+)
 from sluiceway.functions.expressions import (
     bytes_to_text,
     discount_percent,
@@ -11,5 +16,5 @@ from sluiceway.functions.expressions import (
 
 __all__ = [
     "bytes_to_text", "decode_columns", "decode_decimal", "discount_percent",
-    "encode_decimal", "event_time_text", "text_to_bytes", "topic_name",
+    "encode_columns", "encode_decimal", "event_time_text", "text_to_bytes", "topic_name",
 ]
