@@ -106,7 +106,15 @@ def part_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_table_discount(derived(table(spark, sf_dir, "lineitem"), LINE_PRODUCTS))
+    lines = spread(table(spark, sf_dir, "lineitem"))
+    return with_table_discount(derived(lines, LINE_PRODUCTS))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that comes in a few unsplittable files; a table with
+    enough files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def with_table_discount(products: DataFrame) -> DataFrame:

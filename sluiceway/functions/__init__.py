@@ -1,10 +1,9 @@
-"""Column functions."""
+"""Functions on columns."""
 
 from sluiceway.functions.decimals import (
     decode_columns,
-    decode_decimal,
     encode_columns,
-    encode_decimal,
+    register_decode_function,
 )
 from sluiceway.functions.expressions import (
     bytes_to_text,
@@ -15,6 +14,6 @@ from sluiceway.functions.expressions import (
 )
 
 __all__ = [
-    "bytes_to_text", "decode_columns", "decode_decimal", "discount_percent",
-    "encode_columns", "encode_decimal", "event_time_text", "text_to_bytes", "topic_name",
+    "bytes_to_text", "decode_columns", "discount_percent", "encode_columns",
+    "event_time_text", "register_decode_function", "text_to_bytes", "topic_name",
 ]

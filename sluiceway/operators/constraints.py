@@ -12,16 +12,14 @@ would turn into most of the run.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DecimalType,
     IntegerType,
     StringType,
+    StructField,
     StructType,
     VarcharType,
 )
@@ -31,49 +29,39 @@ from sluiceway.schemas import TABLE
 REASON = "reject_reason"
 OK = "ok"
 _STORED = "_stored"
-_WHOLE_NUMBER = r"^\s*[+-]?\d{1,37}\s*$"
-
-
-@dataclass(frozen=True)
-class ColumnRule:
-    """How one column is stored; null where its value cannot be."""
-
-    name: str
-    target: DataType
-
-    def stored(self, source: DataType) -> Column:
-        value = F.col(self.name)
-        if isinstance(self.target, VarcharType):
-            return self._text(value.cast(StringType()), self.target.length)
-        if isinstance(self.target, DecimalType):
-            return self._decimal(value, self.target)
-        if isinstance(self.target, IntegerType) and source != self.target:
-            return self._integer(value, source)
-        return value.try_cast(self.target)
-
-    @staticmethod
-    def _text(value: Column, length: int) -> Column:
-        return F.when(F.length(value) <= length, value).when(
-            F.length(F.rtrim(value)) <= length, F.substring(value, 1, length)
+_WHOLE_NUMBER = "^ *[+-]?[0-9]{1,37} *$"
+
+
+def _stored(column: StructField, source: DataType) -> str:
+    """SQL of a value as its column stores it; null where it cannot be stored."""
+    value, target = f"`{column.name}`", column.dataType
+    if isinstance(target, VarcharType):
+        text = value if isinstance(source, StringType) else f"cast({value} AS string)"
+        return (
+            f"CASE WHEN length({text}) <= {target.length} THEN {text} "
+            f"WHEN length(rtrim({text})) <= {target.length} "
+            f"THEN substring({text}, 1, {target.length}) END"
         )
-
-    @staticmethod
-    def _decimal(value: Column, target: DecimalType) -> Column:
-        wide = value.try_cast(DecimalType(38, target.scale))  # rounds, and cannot overflow
-        bound = Decimal(10) ** (target.precision - target.scale)
-        return F.when(F.abs(wide) < F.lit(bound), wide.cast(target))
-
-    @staticmethod
-    def _integer(value: Column, source: DataType) -> Column:
+    if isinstance(target, DecimalType):
+        wide = f"try_cast({value} AS decimal(38,{target.scale}))"  # rounds, has room to spare
+        return (
+            f"CASE WHEN abs({wide}) < {10 ** (target.precision - target.scale)} "
+            f"THEN cast({wide} AS {target.simpleString()}) END"
+        )
+    if isinstance(target, IntegerType) and source != target:
+        whole = f"try_cast({value} AS decimal(38,0))"
         if isinstance(source, StringType):
-            whole = F.when(value.rlike(_WHOLE_NUMBER), value.cast(DecimalType(38, 0)))
-        else:
-            whole = value.try_cast(DecimalType(38, 0))
-        return F.when(whole.between(-(2**31), 2**31 - 1), whole.cast(IntegerType()))
+            whole = f"CASE WHEN {value} RLIKE '{_WHOLE_NUMBER}' THEN {whole} END"
+        return f"CASE WHEN {whole} BETWEEN {-2**31} AND {2**31 - 1} THEN cast({whole} AS int) END"
+    return f"try_cast({value} AS {target.simpleString()})"
 
-    @property
-    def label(self) -> str:
-        return f"{self.name} {self.target.simpleString()}"
+
+def _reason(column: StructField) -> str:
+    label = f"{column.name} {column.dataType.simpleString()}"
+    return (
+        f"CASE WHEN `{column.name}` IS NOT NULL AND {_STORED}.`{column.name}` IS NULL "
+        f"THEN '{label}' END"
+    )
 
 
 def check_constraints(df: DataFrame, table: StructType = TABLE) -> DataFrame:
@@ -82,15 +70,13 @@ def check_constraints(df: DataFrame, table: StructType = TABLE) -> DataFrame:
     Every row stays, nothing is shuffled or read twice. The values as the table
     would store them come along in one more column, which ``accepted`` unpacks.
     """
-    rules = [ColumnRule(field.name, field.dataType) for field in table]
-    stored = F.struct(*(rule.stored(df.schema[rule.name].dataType).alias(rule.name) for rule in rules))
-    broken = [
-        F.when(F.col(rule.name).isNotNull() & F.col(f"{_STORED}.{rule.name}").isNull(), rule.label)
-        for rule in rules
-    ]
-    found = F.concat_ws("; ", *broken)
-    return df.withColumn(_STORED, stored).withColumn(
-        REASON, F.when(found == "", OK).otherwise(found)
+    stored = ", ".join(
+        f"{_stored(column, df.schema[column.name].dataType)} AS `{column.name}`"
+        for column in table
+    )
+    reasons = ", ".join(_reason(column) for column in table)
+    return df.selectExpr("*", f"struct({stored}) AS {_STORED}").selectExpr(
+        "*", f"coalesce(nullif(concat_ws('; ', {reasons}), ''), '{OK}') AS {REASON}"
     )
 
 
