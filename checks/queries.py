@@ -29,6 +29,7 @@ from sluiceway.schemas import (
     LOAD_ROWS,
     PRODUCT_COLUMNS,
     RAW_ROW,
+    REJECT_ROW,
     TOPIC_ROW,
 )
 from sluiceway.sources.avro_schema import read_avro_schema, to_avro_schema
@@ -285,20 +286,20 @@ def _captured(spark: SparkSession, topic: DataFrame) -> str:
     return path
 
 
-def _sink(spark: SparkSession, **options) -> Sink:
+def _sink(spark: SparkSession) -> Sink:
     folder = fresh_folder(spark)
-    return Sink(f"{folder}/data", f"{folder}/checkpoint", until_caught_up=True, **options)
+    return Sink(f"{folder}/data", f"{folder}/checkpoint", until_caught_up=True)
 
 
 def _append(spark: SparkSession, captured: str, sink: Sink) -> None:
     topic = read_topic(spark, path=captured, format="parquet")
-    wait(append_changes(topic, sink), STREAM_TIMEOUT)
+    wait(append_changes(topic, sink), timeout=STREAM_TIMEOUT)
 
 
 @query
 def cdc_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = _captured(spark, _part_changes(spark, sf_dir))
-    sink = _sink(spark, partition_by=None)
+    sink = _sink(spark)
     topic = read_topic(spark, path=captured, format="parquet")
     wait(start_append(topic, sink), STREAM_TIMEOUT)
     return spark.read.schema(TOPIC_ROW).parquet(sink.path).select(
@@ -339,11 +340,10 @@ def cdc_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cdc_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = _captured(spark, _part_changes(spark, sf_dir))
-    sink = _sink(spark, partition_by="kind")
+    sink = _sink(spark)
     topic = read_topic(spark, path=captured, format="parquet")
     wait(append_rejects(topic, sink), STREAM_TIMEOUT)
-    schema = StructType(TOPIC_ROW.fields).add("kind", "string")
-    return spark.read.schema(schema).parquet(sink.path).select(
+    return read_lake(spark, sink.path, schema=REJECT_ROW).select(
         bytes_to_text(F.col("key")).alias("key"),
         bytes_to_text(F.col("value")).alias("value"),
         "kind",
@@ -378,7 +378,7 @@ def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of orders replayed in portions and appended as they arrive."""
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     path, schema = _csv_copy(spark, orders)
-    sink = _sink(spark, partition_by=None)
+    sink = _sink(spark)
     arriving = replay(spark, path, schema, bytes_per_batch=2**30, header=True)
     wait(start_append(arriving, sink), STREAM_TIMEOUT)
     return spark.read.schema(schema).parquet(sink.path)

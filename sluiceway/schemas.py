@@ -100,6 +100,9 @@ TOPIC_ROW = StructType([
     StructField("timestampType", IntegerType()),
 ])
 
+# Messages without a row image, as they are kept aside.
+REJECT_ROW = StructType([*TOPIC_ROW.fields, StructField("kind", StringType())])
+
 
 def _envelope(image: StructType) -> StructType:
     before = StructType([StructField("id", StringType())])
@@ -117,6 +120,14 @@ CHANGE = _envelope(CHANGE_IMAGE)
 CHANGE_OUTLINE = _envelope(StructType([StructField("id", StringType())]))
 
 
+def plain(schema: StructType) -> StructType:
+    """The schema that a frame has for a table: Spark knows lengths only in tables."""
+    return StructType([
+        StructField(f.name, StringType() if isinstance(f.dataType, VarcharType) else f.dataType)
+        for f in schema
+    ])
+
+
 def columns_ddl(schema: StructType) -> str:
     """Column list of a ``CREATE TABLE`` statement."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluiceway.operators.products import bind_by_position
-from sluiceway.schemas import TABLE
+from sluiceway.schemas import TABLE, plain
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,7 @@ def _query(spark: SparkSession, table: JdbcTable, text: str) -> DataFrame:
 def recreate_table(spark: SparkSession, table: JdbcTable, schema: StructType = TABLE) -> None:
     """Drop the table if it is there and create it empty, with declared types."""
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    spark.createDataFrame([], schema).write.option("createTableColumnTypes", types).jdbc(
+    spark.createDataFrame([], plain(schema)).write.option("createTableColumnTypes", types).jdbc(
         table.url, table.name, mode="overwrite", properties=table.properties
     )
 

@@ -20,12 +20,13 @@ class Sink:
     executor reaches. ``interval`` is a processing-time trigger such as
     ``"1 minute"``; longer ones make fewer, larger files. ``until_caught_up`` takes
     what is there and ends. With neither, batches follow each other directly.
+    ``gather`` shuffles each batch by partition value before it is written; without
+    it every task writes a file for every value it meets.
     """
 
     path: str
     checkpoint: str
     format: str = "parquet"
-    partition_by: str | None = PARTITION_COLUMN
     gather: bool = True
     interval: str | None = None
     until_caught_up: bool = False
@@ -33,17 +34,17 @@ class Sink:
     options: dict[str, str] = field(default_factory=dict)
 
 
-def start_append(df: DataFrame, sink: Sink) -> StreamingQuery:
+def start_append(df: DataFrame, sink: Sink, partition_by: str | None = None) -> StreamingQuery:
     """Append a streaming frame to a sink, each row once across restarts."""
-    rows = gathered(df, sink.partition_by) if sink.partition_by and sink.gather else df
+    rows = gathered(df, partition_by) if partition_by and sink.gather else df
     writer = (
         rows.writeStream.format(sink.format)
         .outputMode("append")
         .option("checkpointLocation", sink.checkpoint)
         .options(**sink.options)
     )
-    if sink.partition_by:
-        writer = writer.partitionBy(sink.partition_by)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     if sink.name:
         writer = writer.queryName(sink.name)
     if sink.until_caught_up:
@@ -59,13 +60,7 @@ def append_changes(topic: DataFrame, sink: Sink, signed: bool = True) -> Streami
     A streaming topic starts a query, which is returned; a batch is written at once
     by the same transformation.
     """
-    rows = table_rows(topic, signed)
-    if topic.isStreaming:
-        return start_append(rows, sink)
-    write_lake(
-        rows, sink.path, sink.format, "append", sink.partition_by or PARTITION_COLUMN, sink.gather
-    )
-    return None
+    return _append(table_rows(topic, signed), sink, PARTITION_COLUMN)
 
 
 def append_rejects(topic: DataFrame, sink: Sink) -> StreamingQuery | None:
@@ -74,10 +69,13 @@ def append_rejects(topic: DataFrame, sink: Sink) -> StreamingQuery | None:
     A query of its own: it reads the topic again, but parses only the outline of each
     message, commits on its own, and cannot hold up or half-complete the table's.
     """
-    rows = rejects(topic)
-    if topic.isStreaming:
-        return start_append(rows, sink)
-    write_lake(rows, sink.path, sink.format, "append", sink.partition_by or "kind", sink.gather)
+    return _append(rejects(topic), sink, "kind")
+
+
+def _append(rows: DataFrame, sink: Sink, partition_by: str) -> StreamingQuery | None:
+    if rows.isStreaming:
+        return start_append(rows, sink, partition_by)
+    write_lake(rows, sink.path, sink.format, "append", partition_by, sink.gather)
     return None
 
 
