@@ -1,10 +1,15 @@
-"""The jobs that users run, put together from operators, sources and sinks."""
+"""The jobs that users run, put together from operators, sources and sinks.
+
+A load reads its source once for the table and once more if rejects are kept: both
+are plain scans, where holding the rows between them would need room for all.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sluiceway.operators.constraints import accepted, check_constraints, rejected
@@ -13,6 +18,7 @@ from sluiceway.plans import catalog
 from sluiceway.schemas import PRODUCT_COLUMNS
 from sluiceway.sources import jdbc
 from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
+from sluiceway.streaming.changes import Sink, append_changes, append_rejects
 
 
 def clean_product_file(
@@ -72,6 +78,35 @@ def load_jdbc_table(
     return rows
 
 
+def start_paced_load(
+    arriving: DataFrame, table: jdbc.JdbcTable, checkpoint: str, interval: str, **options
+) -> StreamingQuery:
+    """Load a replayed stream into a relational table, a portion per ``interval``.
+
+    A portion that was loaded but not yet recorded when the job died is loaded again.
+    """
+
+    def load(portion: DataFrame, _: int) -> None:
+        load_jdbc_table(portion, table, **options)
+
+    return (
+        arriving.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=interval)
+        .start()
+    )
+
+
+def stream_changes(
+    topic: DataFrame, table: Sink, rejects: Sink | None = None
+) -> list[StreamingQuery]:
+    """Start the lake table's query and, if wanted, that of the rejected messages."""
+    started = [append_changes(topic, table)]
+    if rejects is not None:
+        started.append(append_rejects(topic, rejects))
+    return [query for query in started if query is not None]
+
+
 def _keep_rejects(checked: CheckedRows, path: str | None) -> None:
     if path is not None:
         checked.rejected.write.mode("append").parquet(path)

@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from sluiceway.schemas import LAKE_ROW, REJECT_ROW, TOPIC_ROW
+from sluiceway.plans import jobs
+from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS, REJECT_ROW, TOPIC_ROW
+from sluiceway.sources import jdbc
 from sluiceway.sources.lake import read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
-from sluiceway.streaming.changes import Sink, append_changes, append_rejects, start_append, wait
+from sluiceway.streaming.changes import Sink, append_changes, start_append, wait
 from sluiceway.streaming.replay import replay
 
 
@@ -35,7 +37,8 @@ def files(path, pattern):
 
 def test_every_message_ends_in_one_sink(spark, captured, sink):
     rows, refused = sink("rows"), sink("refused")
-    started = [append_changes(stream(spark, captured), rows), append_rejects(stream(spark, captured), refused)]
+    started = jobs.stream_changes(stream(spark, captured), rows, refused)
+    assert len(started) == 2
     for query in started:
         wait(query, timeout=300)
     messages = spark.read.parquet(captured).count()
@@ -110,6 +113,28 @@ def test_replay_in_portions(spark, tmp_path, sink):
     assert len([p for p in by_bytes.recentProgress if p["numInputRows"]]) == 3
 
 
+def test_paced_load_into_a_table(spark, sf_dir, tmp_path, monkeypatch):
+    """Portions arrive one by one; the table's own calls are recorded, not made."""
+    source = str(tmp_path / "source")
+    rows = fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS)
+    rows.repartition(2).write.parquet(source)
+    loaded = []
+
+    def record(df, table, **options):
+        loaded.append((df.count(), df.columns, options))
+        return loaded[-1][0]
+
+    monkeypatch.setattr(jdbc, "append_rows", record)
+    arriving = replay(spark, source, rows.schema, "parquet", files_per_batch=1)
+    query = jobs.start_paced_load(
+        arriving, jdbc.JdbcTable("jdbc:none", "products"), str(tmp_path / "c"), "1 second", connections=4
+    )
+    query.processAllAvailable()
+    query.stop()
+    assert [n for n, _, _ in loaded] == [100, 100]
+    assert loaded[0][1:] == (list(PRODUCT_COLUMNS), {"connections": 4})
+
+
 def test_paced_query_keeps_running(spark, captured, tmp_path):
     paced = Sink(str(tmp_path / "p" / "data"), str(tmp_path / "p" / "checkpoint"), interval="1 second", name="paced")
     query = append_changes(stream(spark, captured), paced)
