@@ -108,7 +108,7 @@ def trim_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discount_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.with_discount(
         fx.part_products(spark, sf_dir).select("id", "original_price", "price")
-    ).withColumn("discount", F.col("discount").cast(LAKE_DECIMAL))
+    ).withColumn("discount", F.col("discount").try_cast(LAKE_DECIMAL))
 
 
 @query
@@ -117,7 +117,7 @@ def discount_pct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice"), F.col("l_extendedprice") * (1 - F.col("l_discount"))
     )
     return fx.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", cut.cast(LAKE_DECIMAL).alias("discount")
+        "l_orderkey", "l_linenumber", cut.try_cast(LAKE_DECIMAL).alias("discount")
     )
 
 
