@@ -379,7 +379,7 @@ def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     path, schema = _csv_copy(spark, orders)
     sink = _sink(spark)
-    arriving = replay(spark, path, schema, bytes_per_batch=2**30, header=True)
+    arriving = replay(spark, path, schema, bytes_per_batch=2**30)
     wait(start_append(arriving, sink), STREAM_TIMEOUT)
     return spark.read.schema(schema).parquet(sink.path)
 

@@ -27,9 +27,13 @@ def clean_product_file(
     target: str,
     schema: StructType | str | None = None,
     files: int | None = None,
+    **options,
 ) -> None:
-    """Clean a raw product file and write the table-shaped result as CSV."""
-    write_csv(clean_products(read_csv(spark, source, schema)), target, files=files)
+    """Clean a raw product file and write the table-shaped result as CSV.
+
+    ``options`` say how the source is read.
+    """
+    write_csv(clean_products(read_csv(spark, source, schema, **options)), target, files=files)
 
 
 @dataclass(frozen=True)
@@ -51,11 +55,12 @@ def read_products(
     source: str,
     schema: StructType | str | None = None,
     rows: int | None = None,
+    **options,
 ) -> DataFrame:
     """Cleaned products from CSV: all of them, or the first ``rows`` in file order."""
     if rows is None:
-        return read_csv(spark, source, schema)
-    return read_csv_head(spark, source, rows, schema)
+        return read_csv(spark, source, schema, **options)
+    return read_csv_head(spark, source, rows, schema, **options)
 
 
 def load_catalog_table(

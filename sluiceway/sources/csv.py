@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+DIALECT = {"header": True, "quote": '"', "escape": '"'}
+CHECK_HEADER = {"enforceSchema": False}
 
 
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, **options
 ) -> DataFrame:
     """Rows of ``path``. Without ``schema`` the types are inferred, which reads the
-    files once more; ``samplingRatio`` reduces how many values that looks at."""
-    reader = spark.read.options(**{**_DIALECT, **options})
+    files once more; ``samplingRatio`` reduces how many values that looks at. A
+    ``schema`` must agree with the header: Spark's default is to apply it by position
+    whatever the header says."""
+    reader = spark.read.options(**{**DIALECT, **CHECK_HEADER, **options})
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
@@ -60,4 +63,4 @@ def write_csv(
     if files is not None:
         df = df.coalesce(files)
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode(mode).options(**{**_DIALECT, **blanks, **options}).csv(path)
+    df.write.mode(mode).options(**{**DIALECT, **blanks, **options}).csv(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from sluiceway.sources.csv import CHECK_HEADER, DIALECT
+
 
 def replay(
     spark: SparkSession,
@@ -18,9 +20,10 @@ def replay(
     """Files of ``path`` as a stream, a bounded portion per micro-batch.
 
     Together with a processing-time trigger this sets the rate of the replay. Give
-    either limit, not both.
+    either limit, not both. CSV files are read as ``read_csv`` reads them.
     """
-    reader = spark.readStream.format(format).schema(schema).options(**options)
+    known = {**DIALECT, **CHECK_HEADER} if format == "csv" else {}
+    reader = spark.readStream.format(format).schema(schema).options(**{**known, **options})
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch is not None:

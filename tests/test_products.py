@@ -81,3 +81,19 @@ def test_head_is_a_top_k(spark, tmp_path, plan):
     physical = plan(read_csv_head(spark, str(tmp_path / "f"), 5, "id bigint")).split("Physical Plan")[1]
     assert "TakeOrderedAndProject" in physical
     assert "Exchange" not in physical
+
+
+def test_schema_must_agree_with_the_header(spark, tmp_path):
+    write_csv(spark.range(3).select("id", F.lit("x").alias("name")), str(tmp_path / "f"))
+    assert read_csv(spark, str(tmp_path / "f"), "id bigint, name string").count() == 3
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        read_csv(spark, str(tmp_path / "f"), "name string, id bigint").collect()
+
+
+def test_line_breaks_in_a_field(spark, raw, tmp_path):
+    broken = raw.withColumn("name", F.lit("two\nlines, \"quoted\""))
+    write_csv(broken, str(tmp_path / "raw"))
+    jobs.clean_product_file(spark, str(tmp_path / "raw"), str(tmp_path / "out"), RAW_ROW, multiLine=True)
+    back = jobs.read_products(spark, str(tmp_path / "out"), DOUBLE_ROW, multiLine=True)
+    assert {r.name for r in back.collect()} == {"two\nlines, \"quoted\""}
+    assert back.count() == 3

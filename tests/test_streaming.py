@@ -102,12 +102,12 @@ def test_replay_in_portions(spark, tmp_path, sink):
     source = str(tmp_path / "source")
     spark.range(0, 90, 1, 3).write.csv(source, header=True)
     target = sink("replayed")
-    query = start_append(replay(spark, source, "id bigint", files_per_batch=1, header=True), target)
+    query = start_append(replay(spark, source, "id bigint", files_per_batch=1), target)
     wait(query, timeout=300)
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [30, 30, 30]
     assert spark.read.parquet(target.path).count() == 90
     by_bytes = start_append(
-        replay(spark, source, "id bigint", bytes_per_batch=1, header=True), sink("by_bytes")
+        replay(spark, source, "id bigint", bytes_per_batch=1), sink("by_bytes")
     )
     wait(by_bytes, timeout=300)
     assert len([p for p in by_bytes.recentProgress if p["numInputRows"]]) == 3
