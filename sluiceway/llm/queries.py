@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import exact_dedup, hilbert_shards, line_quality, ngram_join, source_mix, token_counts
+from sluiceway.llm import (
+    exact_dedup,
+    hilbert_shards,
+    line_quality,
+    ngram_join,
+    quote_links,
+    source_mix,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +34,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    recipe = toxicity.Recipe()
+    network = toxicity.fit(*toxicity.training_sample(docs, labels, recipe), recipe)
+    return toxicity.toxicity(docs, network).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir), exact_dedup.fresh_index(spark))

@@ -25,6 +25,8 @@ from sluiceway.llm.shared import text_of, with_rank, written
 
 #: Marks at the start of a line, blanks between them allowed.
 MARKS = r"^[ \t]*(>[ \t]?)+"
+#: Control characters that mark passages while a message is taken apart.
+OPEN, CLOSE = "\x01", "\x02"
 #: A line such as ``On Monday, Ann wrote:`` that introduces a quote.
 INTRODUCTION = r"(?i)^[ \t]*(on\b.*\bwrote|.*\bsaid|quoting\b.*)[ \t]*:[ \t\r]*$"
 
@@ -39,18 +41,29 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " "))
 
 
-def passages(messages: DataFrame) -> DataFrame:
-    """Lines of ``row, conv_id, turn, text`` with their level and normalised text.
+def coded_lines(text: Column) -> Column:
+    """Lines with their level, without marks. An introduction directly above a quote has level null."""
+    coded = F.transform(F.split(text, "\n", -1), lambda line: F.struct(
+        quote_level(line).alias("level"), F.regexp_replace(line, MARKS, "").alias("line")))
+    return F.element_at(F.transform(F.array(coded), lambda lines: F.transform(lines, lambda one, place: F.when(
+        one["line"].rlike(INTRODUCTION) & (F.get(lines, place + 1)["level"] > one["level"]),
+        one.withField("level", F.lit(None).cast("int"))).otherwise(one))), 1)
 
-    ``text`` of a line has no marks. Introductions directly above a quote have level null.
+
+def passages(lines: Column) -> Column:
+    """Runs of lines of one level, as ``level`` and ``text``.
+
+    The lines are joined with a mark before each that opens a run and split at the marks,
+    which takes time in proportion to the text.
     """
-    lines = F.split(F.col("text"), "\n", -1)
-    coded = F.transform(lines, lambda line, place: F.struct(
-        place.alias("place"), quote_level(line).alias("level"), F.regexp_replace(line, MARKS, "").alias("line")))
-    opened = F.transform(F.col("coded"), lambda one, place: F.when(
-        one["line"].rlike(INTRODUCTION) & (F.coalesce(F.get(F.col("coded"), place + 1)["level"], one["level"]) > one["level"]),
-        one.withField("level", F.lit(None).cast("int"))).otherwise(one))
-    return messages.withColumn("coded", coded).withColumn("coded", opened)
+    opened = F.transform(lines, lambda one, place: F.concat(
+        F.when((place > 0) & one["level"].eqNullSafe(F.get(lines, place - 1)["level"]), F.lit("\n"))
+        .otherwise(F.concat(F.lit(OPEN), F.coalesce(one["level"].cast("string"), F.lit("")), F.lit(CLOSE))),
+        F.translate(one["line"], OPEN + CLOSE, "  ")))
+    parts = F.filter(F.split(F.array_join(opened, ""), OPEN), lambda part: part != "")
+    return F.transform(parts, lambda part: F.struct(
+        F.substring_index(part, CLOSE, 1).try_cast("int").alias("level"),
+        F.substring_index(part, CLOSE, -1).alias("text")))
 
 
 def link_messages(
@@ -59,30 +72,36 @@ def link_messages(
     """One row per message: ``conv_id, turn, role``, its own text without quotes, links and place.
 
     ``parent_turn`` is the turn it replies to or null, ``depth`` its distance from the start
-    of its thread, ``n_quotes`` its quoted passages, ``n_linked`` those whose original was
-    found, ``position`` its place in the reply-ordered conversation, from 0.
+    of its thread, ``n_quotes`` its quoted passages, ``n_linked`` the distinct quoted
+    passages and lines whose original was found, ``position`` its place in the
+    reply-ordered conversation, from 0.
     """
-    source = messages.select(
-        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), text_of(text).alias("text"))
-    coded = passages(source)
-    own = F.array_join(F.transform(
-        F.filter("coded", lambda one: one["level"] == 0), lambda one: one["line"]), "\n")
-    quoted = F.filter("coded", lambda one: one["level"] > 0)
-    # A new passage starts where the level differs from that of the line before.
-    starts = F.filter(F.transform(F.col("coded"), lambda one, place: F.struct(
-        one["level"].alias("level"), (F.when(place > 0, F.get(F.col("coded"), place - 1)["level"])).alias("before"))),
-        lambda one: (one["level"] > 0) & ~one["level"].eqNullSafe(one["before"]))
+    coded = messages.select(
+        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"),
+        text_of(text).alias("text")).withColumn("lines", coded_lines(F.col("text"))).withColumn("runs", passages(F.col("lines")))
+    own_text = F.array_join(F.transform(F.filter("lines", lambda one: one["level"] == 0), lambda one: one["line"]), "\n")
+
+    def units(wanted) -> Column:
+        """Level and normalised text of the wanted passages and lines, each once."""
+        def leveled(name: str, field: str) -> Column:
+            return F.transform(F.filter(name, wanted), lambda one: F.struct(
+                one["level"].alias("level"), normalised(one[field]).alias("unit")))
+
+        parts = [leveled("runs", "text"), leveled("lines", "line")]
+        return F.array_distinct(F.filter(F.concat(*parts), lambda one: one["unit"] != ""))
+
     rows = written(coded.select(
         "conv_id", "turn", "role", F.xxhash64("text").alias("text_hash"),
-        F.regexp_replace(own, r"(?s)^\s+|\s+$", "").alias("own_text"),
-        F.transform(F.filter("coded", lambda one: one["level"] == 0), lambda one: normalised(one["line"])).alias("own"),
-        F.transform(quoted, lambda one: F.struct(one["level"].alias("level"), normalised(one["line"]).alias("line"))).alias("quoted"),
-        F.size(starts).alias("n_quotes"),
+        F.regexp_replace(own_text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "").alias("own_text"),
+        F.array_union(F.transform(units(lambda one: one["level"] == 0), lambda one: one["unit"]),
+                      F.array(normalised(own_text))).alias("own"),
+        units(lambda one: one["level"] > 0).alias("quoted"),
+        F.size(F.filter("runs", lambda one: one["level"] > 0)).alias("n_quotes"),
     ), "messages")
 
     linked = links(rows)
     parents = best_parent(linked)
-    tree = thread_paths(rows.select("conv_id", "turn").distinct(), parents)
+    tree = thread_paths(parents)
     found = linked.groupBy("conv_id", "turn", "text_hash").agg(F.count("*").alias("n_linked"))
     same = ["conv_id", "turn"]
     placed = null_safe(rows.drop("own", "quoted"), found, [*same, "text_hash"])
@@ -108,18 +127,17 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def links(rows: DataFrame) -> DataFrame:
-    """Quoted lines with the turn of their original: one row per line that was found.
+    """Quoted passages and lines with the turn of their original: one row per unit that was found.
 
-    Originals are the first message of a conversation with that line, so one row per
-    line meets any number of quotes.
+    An original is the first message of a conversation with that unit, so one row per
+    unit meets any number of quotes.
     """
     known = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    own = known.select("conv_id", "turn", F.explode("own").alias("line")).where("line != ''")
-    hashed = F.sha2("line", 256).alias("digest")
-    originals = own.select("conv_id", "turn", hashed).groupBy("conv_id", "digest").agg(F.min("turn").alias("original"))
-    quotes = known.select("conv_id", "turn", "text_hash", F.explode("quoted").alias("q")).where("q.line != ''").select(
-        "conv_id", "turn", "text_hash", F.col("q.level").alias("level"), F.length("q.line").alias("chars"),
-        F.sha2("q.line", 256).alias("digest"))
+    own = known.select("conv_id", "turn", F.explode("own").alias("unit")).where("unit != ''")
+    originals = own.select("conv_id", "turn", F.sha2("unit", 256).alias("digest")).groupBy("conv_id", "digest").agg(
+        F.min("turn").alias("original"))
+    quotes = known.select("conv_id", "turn", "text_hash", F.explode("quoted").alias("q")).select(
+        "conv_id", "turn", "text_hash", "q.level", F.length("q.unit").alias("chars"), F.sha2("q.unit", 256).alias("digest"))
     return written(quotes.join(originals, ["conv_id", "digest"]).where("original < turn").drop("digest"), "quote-links")
 
 
@@ -131,7 +149,7 @@ def best_parent(linked: DataFrame) -> DataFrame:
         "conv_id", "turn", (-F.col("best.earlier")).alias("parent_turn"))
 
 
-def thread_paths(messages: DataFrame, parents: DataFrame) -> DataFrame:
+def thread_paths(parents: DataFrame) -> DataFrame:
     """``conv_id, turn, parent_turn, depth, path`` of every linked message.
 
     A path lists the turns from the start of a thread. Paths double in length with every
