@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm import (
+    byte_bpe,
     exact_dedup,
     hilbert_shards,
     line_quality,
     ngram_join,
+    ordinal_quality,
     quote_links,
     source_mix,
     token_counts,
@@ -72,6 +74,32 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    listed = F.array_join(F.transform("ids", lambda one: one.cast("string")), " ")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
+@query
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good. Kept: more likely than not at least 1."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    ratings = labels.where("quality IS NOT NULL AND toxic IS NOT NULL").select("doc_id", grade.alias("grade"))
+    recipe = ordinal_quality.Recipe()
+    model = ordinal_quality.fit(*ordinal_quality.training_sample(docs, ratings, recipe), recipe)
+    return ordinal_quality.rate(docs, model).select(
+        "doc_id", ordinal_quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("rating.expected").alias("expected_grade"), F.col("rating.tails")[0].alias("p_at_least_1"),
+        F.col("rating.tails")[1].alias("p_at_least_2"), (F.col("rating.tails")[0] >= 0.5).alias("kept"))
+
+
 @query
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.take(documents(spark, sf_dir)).select(
