@@ -77,8 +77,13 @@ class Merges:
         return np.where(self.keys[at] == wanted, self.ranks[at], NEVER)
 
 
-def merge(words: Sequence[bytes], merges: Merges) -> np.ndarray:
-    """How many symbols each non-empty word ends with."""
+def merge(words: Sequence[bytes], merges: Merges, ended: list | None = None, early: set | None = None) -> np.ndarray:
+    """How many symbols each non-empty word ends with.
+
+    ``ended`` receives the symbols, as arrays of owners and symbols. ``early`` receives the
+    words in which a merge made a pair of lower rank than its own, for which merging all
+    occurrences at once may differ from merging the leftmost first.
+    """
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     counts = np.empty(len(words), np.int64)
     symbols = merges.first[np.frombuffer(b"".join(words), np.uint8)]
@@ -96,11 +101,14 @@ def merge(words: Sequence[bytes], merges: Merges) -> np.ndarray:
         if not active.all():
             counts[owner[starts[~active]]] = sizes[~active]
             stay = np.repeat(active, sizes)
+            if ended is not None:
+                ended.append((owner[~stay], symbols[~stay]))
             symbols, owner, ends, rank = symbols[stay], owner[stay], ends[stay], rank[stay]
             lowest, sizes = lowest[active], sizes[active]
             if not len(symbols):
                 break
-        hits = np.flatnonzero(rank == np.repeat(lowest, sizes))
+        own_lowest = np.repeat(lowest, sizes)
+        hits = np.flatnonzero(rank == own_lowest)
         # Of hits side by side (the same symbol three times or more), every second one counts.
         fresh = np.concatenate(([True], np.diff(hits) != 1))
         if not fresh.all():
@@ -116,6 +124,8 @@ def merge(words: Sequence[bytes], merges: Merges) -> np.ndarray:
         again = np.concatenate((at[~ends[at]], at[at > 0] - 1))
         again = again[~ends[again]]
         rank[again] = merges.rank_of(symbols[again], symbols[again + 1])
+        if early is not None:
+            early.update(owner[again[rank[again] < own_lowest[keep][again]]].tolist())
     return counts
 
 

@@ -1,0 +1,489 @@
+"""Odd rows for every operator: nulls, blanks, long texts, ties, repeats, clashing columns, empty tables."""
+
+import base64
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from sluiceway.llm import (
+    byte_bpe,
+    exact_dedup,
+    hilbert_shards,
+    line_quality,
+    ngram_join,
+    ordinal_quality,
+    quote_links,
+    source_mix,
+    token_counts,
+    toxicity,
+)
+from sluiceway.llm.shared import written
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = ("quality", "tokens", "score", "rating", "ids", "digest", "rank", "copies", "node", "shard", "_id")
+LONG = "wort " * 40_000 + "x" * 30_000
+PROSE = " ".join(f"word{i}" for i in range(80)) + "."
+
+
+def rows():
+    return [
+        (1, PROSE, "en", "a", 1), (2, PROSE, "en", "a", 1), (3, PROSE.replace("word7 ", "other "), "en", "b", 1),
+        (4, None, None, None, None), (5, "", "en", "b", 0), (6, " \t\n\x0b ", "en", "b", 5), (7, LONG, "de", "c", 1),
+        (8, "héé ß ١٢ ½ 😀😀 \n\n  x <|endoftext|> 's I'll", "fr", "c", 1), (9, "a\x1cb\u0085c d", "fr", "c", 1),
+        (None, "no id here at all", "en", "a", 1), (None, "no id here at all", "en", "a", 1), (1, PROSE, "en", "a", 1),
+        (10, "one two", "en", "a", 1), (11, "one  two", "en", "a", 1),
+    ]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    frame = spark.createDataFrame(rows(), SCHEMA).repartition(3)
+    return frame.withColumns({name: F.lit(f"own {name}") for name in CLASHES})
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@pytest.fixture(scope="module")
+def merges():
+    return token_counts.Merges.from_file(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def words(text):
+    return (text or "").encode().split()
+
+
+# -- line quality ---------------------------------------------------------------
+
+
+def plain_base(text):
+    """The base counts, the long way."""
+    text = text or ""
+    own = words(text)
+    seen, duplicates = set(), 0
+    for line in text.split("\n"):
+        if line.strip(" \t\n\x0b\x0c\r"):
+            duplicates += line in seen
+            seen.add(line)
+    windows = [tuple(own[i : i + 3]) for i in range(len(own) - 2)]
+    covered = {i + j for i, window in enumerate(windows) if windows.count(window) > 1 for j in range(3)}
+    return (len(own), sum(len(word.decode()) for word in own), sum(c in "#*$%&|<>" for c in text), duplicates, len(covered))
+
+
+def test_base_counts_equal_the_long_way():
+    rules = line_quality.LineRules()
+    phrase = line_quality.re.compile("|".join(rules.phrases))
+    texts = [row[1] for row in rows() if row[1] != LONG] + [
+        "a b c a b c a", "x x x x", "a a a b a a a", "l\nl\n\nl\n \n ", "# * | <p> & 5% $", "a b c d a b c e b c d"]
+    for text in texts:
+        assert line_quality.judge(text, rules, phrase)[:5] == plain_base(text)
+
+
+def test_lines_go_and_documents_that_lose_too_much(spark):
+    menu = "Home | News | Sport | About | Contact"
+    docs = [(1, PROSE + "\n" + menu), (2, "\n".join([PROSE[:200]] + ["WIN!! NOW!! " * 30] * 3)), (3, PROSE)]
+    kept = {r.doc_id: r.text for r in line_quality.keep_clean(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept == {1: PROSE, 3: PROSE}
+
+
+def test_line_quality_odd_rows(odd, none):
+    found = line_quality.clean_lines(odd)
+    assert found.count() == odd.count()
+    assert {"quality", "quality_"} <= set(found.columns)
+    assert found.where("text IS NULL").select("quality_.kept", "quality_.clean_text").collect() == [(False, "")]
+    assert line_quality.keep_clean(none).columns == none.columns
+    assert line_quality.keep_clean(none).count() == 0
+
+
+# -- exact dedup ----------------------------------------------------------------
+
+
+def test_exact_groups(spark, odd):
+    found = exact_dedup.deduplicate(odd, exact_dedup.fresh_index(spark, 4)).collect()
+    by_id = {r.doc_id: r for r in found}
+    assert len(found) == len(rows())
+    assert by_id[2].keep_id == 1 and by_id[2].group_size == 3 and not by_id[2].kept
+    assert by_id[6].keep_id == 6 and by_id[6].group_size == 3  # more code points than null or empty
+    assert by_id[10].keep_id == 11 and by_id[11].kept
+    assert by_id[None].keep_id is None and by_id[None].kept
+    digest = hashlib.sha256(LONG.replace(" ", "").encode()).hexdigest()
+    assert by_id[7].text_sha256 == digest
+
+
+def test_index_remembers(spark):
+    index = exact_dedup.fresh_index(spark, 4)
+    first = spark.createDataFrame([(5, "a b"), (6, "c")], "doc_id long, text string")
+    second = spark.createDataFrame([(1, "ab"), (2, "d"), (3, "d ")], "doc_id long, text string")
+    exact_dedup.deduplicate(first, index).collect()
+    found = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.deduplicate(second, index).collect()}
+    assert found == {1: (5, False), 2: (3, False), 3: (3, True)}
+    again = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.deduplicate(second, index).collect()}
+    assert again == found
+    assert sorted(r.keep_id for r in index.rows().collect()) == [3, 5, 6]
+
+
+def test_index_is_not_shuffled(spark, plan):
+    index = exact_dedup.fresh_index(spark, 4)
+    docs = spark.createDataFrame([(5, "a b"), (6, "c")], "doc_id long, text string")
+    exact_dedup.deduplicate(docs, index).collect()
+    found = written(exact_dedup.groups(exact_dedup.digests(docs)), "groups")
+    text = plan(index.new_groups(found))
+    physical = text[text.index("== Physical Plan =="):]
+    print(physical)
+    assert "SortMergeJoin" in physical and "LeftAnti" in physical
+    left, right = physical.split("SortMergeJoin")[1].split("FileScan parquet spark_catalog")
+    assert left.count("Exchange") == 1 and "Bucketed: true" in right
+
+
+def test_exact_keeps_columns(spark, odd, none):
+    kept = exact_dedup.keep_first(odd, exact_dedup.fresh_index(spark, 4))
+    assert kept.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 3, 6, 7, 8, 9, 11, None]))
+    assert exact_dedup.keep_first(none, exact_dedup.fresh_index(spark, 4)).count() == 0
+
+
+# -- shards ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(("axes", "bits"), [(2, 1), (2, 3), (3, 2), (3, 3)])
+def test_curve_visits_every_cell_in_unit_steps(spark, axes, bits):
+    cells = spark.range(1 << (axes * bits))
+    levels = [F.shiftrightunsigned(F.col("id"), bits * i) % (1 << bits) for i in range(axes)]
+    found = cells.select(hilbert_shards.hilbert_index(levels, bits).alias("at"), *[
+        level.alias(f"x{i}") for i, level in enumerate(levels)]).orderBy("at").collect()
+    assert [r["at"] for r in found] == list(range(1 << (axes * bits)))
+    for one, other in zip(found, found[1:]):
+        assert sum(abs(one[f"x{i}"] - other[f"x{i}"]) for i in range(axes)) == 1
+
+
+def test_shards_are_even_and_gapless(odd, none):
+    found = hilbert_shards.assign(odd, hilbert_shards.metadata_dimensions(), shards=4).collect()
+    slots = {}
+    for r in found:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+    by_id = {r.doc_id: r for r in found}
+    assert (by_id[4].size, by_id[4].text_crc32) == (1, 0)
+    assert by_id[8].text_crc32 == zlib.crc32(rows()[7][1].encode())
+    in_order = sorted(found, key=lambda r: (r.shard, r.slot))
+    assert [r.curve for r in in_order] == sorted(r.curve for r in found)
+    assert hilbert_shards.assign(none, hilbert_shards.metadata_dimensions()).count() == 0
+
+
+def test_shard_files_hold_every_document(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "t" * (i % 50), "en", f"s{i % 3}", 1) for i in range(200)], SCHEMA)
+    hilbert_shards.write_shards(docs, str(tmp_path / "out"), hilbert_shards.metadata_dimensions(), shards=5)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()} == dict.fromkeys(range(5), 40) or {
+        int(r["shard"]): r["count"] for r in back.groupBy("shard").count().collect()} == dict.fromkeys(range(5), 40)
+
+
+# -- mix ------------------------------------------------------------------------
+
+
+def plain_targets(sizes, mix):
+    """Share, stop at the cap, share again."""
+    names = sorted(sizes)
+    weight = {name: mix.weights[i % len(mix.weights)] for i, name in enumerate(names)}
+    target, left, open_ = dict.fromkeys(names, 0.0), mix.budget * sum(sizes.values()), list(names)
+    while open_ and left > 1e-9:
+        each = left / sum(weight[n] for n in open_)
+        for n in open_:
+            target[n] += each * weight[n]
+        left = sum(max(0.0, target[n] - mix.most * sizes[n]) for n in open_)
+        for n in list(open_):
+            if target[n] >= mix.most * sizes[n]:
+                target[n] = mix.most * sizes[n]
+                open_.remove(n)
+    return target
+
+
+def test_targets_equal_repeated_sharing(spark):
+    sizes = {"0a": 10, "0b": 1000, "0c": 50, "0d": 400, "0e": 5, "1": 300, "0f": 0}
+    frame = spark.createDataFrame(list(sizes.items()), "source_key string, source_size long")
+    found = {r.source_key: r.target for r in source_mix.targets(frame).collect()}
+    assert found == pytest.approx(plain_targets(sizes, source_mix.Mix()))
+
+
+def test_mix_takes_near_its_targets(spark, odd, none):
+    docs = spark.createDataFrame(
+        [(i, "w " * (i * 7 % 60), "en", f"s{min(i % 7, 4)}", 1) for i in range(2000)] + [(None, None, None, None, None)], SCHEMA)
+    found = source_mix.take(docs)
+    assert found.count() == 2001
+    by_source = found.groupBy("source_key").agg(F.max("target").alias("target"), F.sum("taken").alias("taken"))
+    assert all(abs(r.taken - r.target) <= 120 for r in by_source.collect())
+    assert found.where("taken > 2 * size").count() == 0
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, source_mix.take(docs).collect()), key=str)
+    assert source_mix.mixed(docs).count() == found.agg(F.sum("copies")).first()[0]
+    assert source_mix.mixed(odd).columns == odd.columns
+    assert source_mix.mixed(odd).count() == source_mix.take(odd).agg(F.sum("copies")).first()[0]
+    assert source_mix.take(none).count() == 0 and source_mix.mixed(none).count() == 0
+
+
+# -- tokens ---------------------------------------------------------------------
+
+ODD_TEXTS = [row[1] or "" for row in rows() if row[1] != LONG] + [
+    "aaaaaaaaaaa" * 50, "<|endoftext|>a<|endoftext|><|endoftext|>  ", "​ ab 　 c", "ﬀ ǅ ʰ ⅷ", "abcabcab" * 9,
+    "x" * 3000]
+
+
+def test_counts_equal_the_library(merges, odd, none):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = [len(library.encode(text, add_special_tokens=False).ids) for text in ODD_TEXTS]
+    assert token_counts.count_block(ODD_TEXTS, merges, {}) == expected
+    found = token_counts.token_counts(odd, merges)
+    assert {"tokens", "tokens_"} <= set(found.columns)
+    by_id = {r.doc_id: r.tokens_ for r in found.select("doc_id", "tokens_").collect()}
+    assert tuple(by_id[4]) == (0, 0, False) and by_id[7].n_tokens == len(library.encode(LONG, add_special_tokens=False).ids)
+    assert token_counts.token_counts(none, merges).count() == 0
+
+
+def test_known_counts_are_bounded(merges, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 2)
+    known = {}
+    blocks = [["alpha beta"], ["gamma delta"], ["alpha gamma"]]
+    assert [token_counts.count_block(block, merges, known) for block in blocks] == [
+        token_counts.count_block(block, merges, {}) for block in blocks]
+
+
+@pytest.mark.parametrize("encode", [byte_bpe.encode, byte_bpe.encode_folded])
+def test_ids_equal_the_library_and_decode(spark, ranks, encode):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    frame = spark.createDataFrame([(i, text, "x") for i, text in enumerate([*ODD_TEXTS, None])], "doc_id int, text string, ids string")
+    found = encode(frame, ranks, public_tokenizers.PATTERN)
+    found = found.withColumn("back", byte_bpe.decode(F.col("ids_"), ranks))
+    for r in found.collect():
+        text = r.text or ""
+        assert list(r.ids_) == library.encode_ordinary(text)
+        assert bytes(r.back) == text.encode()
+    assert encode(frame.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_words_whose_ranks_fall_are_merged_one_by_one():
+    pieces = [bytes([i]) for i in range(256)] + [b"ca", b"cab", b"abc", b"ab"]
+    ranks = {piece: rank for rank, piece in enumerate(pieces)} | {b"ca": 400, b"cab": 401, b"abc": 402, b"ab": 403}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = byte_bpe.Encoder(ranks, byte_bpe.merges_of(ranks, public_tokenizers.PATTERN))
+    texts = ["abcab", "ababcabcab", "cabab abab", "abcabc"]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [library.encode_ordinary(text) for text in texts]
+
+
+def test_rank_file_is_read(ranks):
+    assert len(ranks) == 50256 and ranks[base64.b64decode("IQ==")] == 0
+
+
+# -- similarity -----------------------------------------------------------------
+
+
+def plain_sets(texts, n=5):
+    found = []
+    for text in texts:
+        own = words(text)
+        found.append({tuple(own[i : i + n]) for i in range(max(1, len(own) - n + 1))} if own else set())
+    return found
+
+
+def plain_links(texts, threshold=0.8):
+    sets = plain_sets(texts)
+    return [[j for j, b in enumerate(sets) if j != i and a and b and len(a & b) >= threshold * len(a | b) - 1e-12]
+            for i, a in enumerate(sets)]
+
+
+def roots(links):
+    root = list(range(len(links)))
+    for _ in links:
+        root = [min([root[i], *[root[j] for j in links[i]]]) for i in range(len(links))]
+    return root
+
+
+def near_texts(seed=3, bases=12, copies=9, length=70):
+    random = np.random.default_rng(seed)
+    texts = []
+    for base in range(bases):
+        own = [f"b{base}w{i}" for i in random.integers(0, 500, length)]
+        for _ in range(copies):
+            changed = list(own)
+            for at in random.integers(0, length, random.integers(0, 4)):
+                changed[at] = f"new{random.integers(0, 9)}"
+            texts.append(" ".join(changed))
+    return texts
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_classes_equal_brute_force(spark, block):
+    texts = near_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in ngram_join.similarity_classes(docs, how=ngram_join.Similarity(block=block)).collect()}
+    links = plain_links(texts)
+    assert {i: r.n_links for i, r in found.items()} == {i: len(own) for i, own in enumerate(links)}
+    assert [found[i].class_id for i in range(len(texts))] == roots(links)
+    assert {i for i, r in found.items() if r.stays} == set(roots(links))
+
+
+def test_bands_reach_the_recall():
+    for threshold, recall, hashes in ((0.8, 0.9995, 128), (0.5, 0.99, 64), (0.9, 0.999, 200)):
+        bands, per_band = ngram_join.choose_bands(threshold, recall, hashes)
+        assert bands * per_band <= hashes and 1 - (1 - threshold**per_band) ** bands >= recall
+
+
+def test_similarity_odd_rows(odd, none):
+    found = ngram_join.similarity_classes(odd)
+    got = [(r.doc_id, r.class_id, r.n_links) for r in found.collect()]
+    assert len(got) == len(rows())
+    assert (3, 3, 0) in got or (3, 1, 3) in got
+    assert (2, 1, 2) in got or (2, 1, 3) in got
+    assert (4, 4, 0) in got and (5, 5, 0) in got and got.count((None, None, 1)) == 2
+    assert (10, 10, 1) in got and (11, 10, 1) in got
+    kept = ngram_join.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert kept.where("doc_id = 1").count() == 1 and kept.where("doc_id = 2").count() == 0
+    assert kept.where("doc_id IS NULL").count() == 1
+    assert ngram_join.similarity_classes(none).count() == 0 and ngram_join.keep_one(none).count() == 0
+
+
+# -- models ---------------------------------------------------------------------
+
+
+def slopes_by_difference(loss, array, places, step=1e-4):
+    found = []
+    for place in places:
+        at, old = np.unravel_index(place, array.shape), None
+        old = array[at]
+        array[at] = old + step
+        high = loss()
+        array[at] = old - step
+        low = loss()
+        array[at] = old
+        found.append((high - low) / (2 * step))
+    return found
+
+
+def test_network_slopes():
+    recipe = toxicity.Recipe(window=6, stride=4, inputs=3, hidden=2, word_bits=6, gram_bits=7)
+    network = toxicity.Network.fresh(recipe)
+    for name in network.NAMES:
+        setattr(network, name, getattr(network, name).astype(np.float64))
+    coded, windows, _ = toxicity.coded_texts(["the quick brown fox jumps over the lazy dog again", "a b"], recipe)
+    own, places = toxicity.some_windows(windows, np.arange(len(windows)), coded)
+    marks = np.arange(len(windows)) % 2.0
+
+    def loss():
+        logits = network.run(network.gate_inputs(network.vectors(own)), places)
+        return float(np.mean(np.log1p(np.exp(logits)) - marks * logits))
+
+    grow = network.gradients(own, places, marks)
+    for name in network.NAMES:
+        top = np.argsort(-abs(grow[name]).ravel())[:4]
+        assert grow[name].ravel()[top] == pytest.approx(slopes_by_difference(loss, getattr(network, name), top, 1e-2), rel=2e-2, abs=1e-4)
+
+
+def test_every_window_counts():
+    recipe = toxicity.Recipe(window=8, stride=6)
+    _, windows, owners = toxicity.coded_texts([" ".join(f"w{i}" for i in range(29)), "", None or "one"], recipe)
+    assert set(windows[owners == 0].ravel()) == set(range(29)) and owners.tolist().count(2) == 1 and 1 not in owners
+
+
+def test_toxicity_finds_planted_words(spark):
+    random = np.random.default_rng(0)
+    plain = [f"{a}{b}" for a in ("ra", "lo", "mi", "ten", "sor") for b in ("ba", "ni", "ku", "der", "lin", "go")]
+    texts = [[str(random.choice(plain)) for _ in range(random.integers(5, 200))] for _ in range(500)]
+    marks = [int(i % 4 == 0) for i in range(500)]
+    for own, mark in zip(texts, marks):
+        for _ in range(3 * mark):
+            own[random.integers(0, len(own))] = str(random.choice(["vilezok", "grumpoth"]))
+    docs = spark.createDataFrame([(i, " ".join(own), "c") for i, own in enumerate(texts)], "doc_id long, text string, score string")
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    network = toxicity.fit(*toxicity.training_sample(docs, labels, toxicity.Recipe()))
+    found = toxicity.toxicity(docs, network).withColumn("held", toxicity.held_out(F.col("doc_id"))).where("held").collect()
+    right = [(r.score_ >= 0.5) == bool(marks[r.doc_id]) for r in found]
+    assert len(right) > 60 and np.mean(right) > 0.95
+
+
+def test_models_odd_rows(spark, odd, none):
+    empty = spark.createDataFrame([], "doc_id long, toxic int")
+    constant = toxicity.fit(*toxicity.training_sample(odd, empty, toxicity.Recipe()))
+    assert {r[0] for r in toxicity.toxicity(odd, constant).select("score_").collect()} == {0.0}
+    labels = spark.createDataFrame([(1, 1), (3, 0), (7, 0), (8, 1), (None, 1), (2, None), (99, 1)], "doc_id long, toxic int")
+    network = toxicity.fit(*toxicity.training_sample(odd, labels, toxicity.Recipe(rounds=2)))
+    found = [r[0] for r in toxicity.toxicity(odd, network).select("score_").collect()]
+    assert len(found) == len(rows()) and all(0 <= s <= 1 for s in found)
+    assert toxicity.toxicity(none, network).count() == 0
+    ratings = labels.withColumnRenamed("toxic", "grade")
+    model = ordinal_quality.fit(*ordinal_quality.training_sample(odd, ratings, ordinal_quality.Recipe()))
+    rated = [r[0] for r in ordinal_quality.rate(odd, model).select("rating_").collect()]
+    assert len(rated) == len(rows()) and all(r.tails[0] >= r.tails[1] for r in rated)
+    assert ordinal_quality.rate(none, model).count() == 0
+
+
+def test_ordinal_slopes():
+    sums, cuts, grades = np.array([0.3, -0.2, 1.1, 0.4]), np.array([-0.5, 0.7]), np.array([0, 1, 2, 1])
+    _, by_sum, by_cut = ordinal_quality.loss_slopes(sums, cuts, grades)
+    assert by_sum == pytest.approx(slopes_by_difference(lambda: ordinal_quality.loss_slopes(sums, cuts, grades)[0], sums, range(4)), abs=1e-6)
+    assert by_cut == pytest.approx(slopes_by_difference(lambda: ordinal_quality.loss_slopes(sums, cuts, grades)[0], cuts, range(2)), abs=1e-6)
+
+
+def test_ordinal_grades_in_order():
+    random = np.random.default_rng(1)
+    grades = random.integers(0, 3, 300)
+    texts = [" ".join(random.choice(["good", "fine"], 30 * g + 5).tolist() + random.choice(["bad$$", "poor"], 30 * (2 - g) + 5).tolist()) for g in grades]
+    model = ordinal_quality.fit(texts[:200], grades[:200])
+    assert model.thresholds[0] < model.thresholds[1]
+    expected = model.tails(texts[200:]).sum(axis=1)
+    means = [expected[grades[200:] == g].mean() for g in range(3)]
+    assert means[0] < 0.4 < means[1] < 1.6 < means[2]
+
+
+# -- conversations --------------------------------------------------------------
+
+
+def test_replies_follow_what_they_quote(spark):
+    talk = [
+        (1, 0, "u", "Hello there my friend\nsecond line here"),
+        (1, 1, "a", "On Monday Bob wrote:\n> Hello there my friend\n> second line here\nI answer you now"),
+        (1, 2, "u", "Another start"),
+        (1, 3, "u", "> I answer you now\n>> Hello there my friend\nthird reply"),
+        (1, 4, "a", "> > never said\n> Hello  THERE my friend\nside reply"),
+        (1, 5, None, None), (1, 5, None, None), (None, None, "u", "> x"), (2, 0, "u", "> Hello there my friend"),
+        (3, 0, "u", "one two\nthree four"), (3, 1, "u", "> one two three\n> four\nok"), (3, 2, "u", ">ok\n" * 3 + "end"),
+    ]
+    frame = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").withColumn("position", F.lit("own"))
+    found = quote_links.link_messages(frame)
+    assert found.count() == len(talk)
+    one = [(r.turn, r.parent_turn, r.depth, r.own_text) for r in found.where("conv_id = 1").orderBy("position").collect()]
+    assert one[:4] == [(0, None, 0, talk[0][3]), (1, 0, 1, "I answer you now"), (3, 1, 2, "third reply"), (4, 0, 1, "side reply")]
+    assert [o[0] for o in one[4:]] == [2, 5, 5]
+    three = [(r.turn, r.parent_turn, r.depth, r.n_quotes) for r in found.where("conv_id = 3").orderBy("position").collect()]
+    assert three == [(0, None, 0, 0), (1, 0, 1, 1), (2, 1, 2, 1)]
+    assert found.where("conv_id = 2").first().parent_turn is None
+    assert quote_links.link_messages(frame.limit(0)).count() == 0
+
+
+def test_long_threads(spark):
+    talk = [(1, i, "u", f"message number {i}" if not i else f"> message number {i - 1}\nmessage number {i}") for i in range(20)]
+    found = quote_links.link_messages(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string"))
+    assert [r.depth for r in found.orderBy("position").collect()] == list(range(20))
+
+
+# -- pipeline -------------------------------------------------------------------
+
+
+def test_stages_keep_columns_and_take_empty_tables(spark, odd, none):
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd, "").columns == odd.columns, name
+        assert stage(spark, none, "").count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, none, "").count() == 0
