@@ -219,7 +219,8 @@ def verified(members: DataFrame, how: Similarity) -> DataFrame:
     time. A group of m documents makes (m / block) squared units, which go to as many tasks.
     """
     share = how.share
-    sizes = members.groupBy("root").agg(F.count("*").alias("members"))
+    # Written, so that the join shuffles both sides and a group of most documents can be split.
+    sizes = written(members.groupBy("root").agg(F.count("*").alias("members")), "group-sizes")
     blocks = F.ceil(F.col("members") / how.block).cast("int")
     dealt = (
         members.join(sizes, "root").withColumn("blocks", blocks)
@@ -288,9 +289,11 @@ def similarity_classes(
     counted = links.groupBy("node").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     joint = components(links.where("not whole").select(F.col("node").alias("a"), F.col("root").alias("b")))
     single = links.where("whole").select("node", "root")
-    rooted = counted.join(single.unionByName(joint), "node", "left").select(
-        "node", "linked_docs", F.coalesce("root", "node").alias("root"))
-    firsts = rooted.join(classes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("class_first"))
+    rooted = written(counted.join(single.unionByName(joint), "node", "left").select(
+        "node", "linked_docs", F.coalesce("root", "node").alias("root")), "rooted")
+    # Written for the same reason as the sizes of groups.
+    firsts = written(rooted.join(classes.select("node", "first"), "node").groupBy("root").agg(
+        F.min("first").alias("class_first")), "class-firsts")
     known = written(
         classes.select("node", "first", "copies").join(rooted, "node", "left").join(firsts, "root", "left").select(
             "node", "first", F.coalesce("class_first", "first").alias("class_first"),
