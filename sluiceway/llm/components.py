@@ -26,10 +26,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = _mark(current)
     while before[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
+        # Written, so that the join shuffles both sides and can split a node of most edges.
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         large = written(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        least = written(large.groupBy("a").agg(F.min("b").alias("low")), "least")
         joined = large.join(least, "a")
         small = joined.where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
             least.select("a", F.col("low").alias("b")))
