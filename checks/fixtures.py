@@ -22,6 +22,8 @@ from sluiceway.schemas import (
     TOPIC_ROW,
 )
 
+LOAD_ROWS = 2000  # rows that a limited load takes
+
 # ``seq`` numbers the rows; the kind of change message a row yields depends on it.
 PART_PRODUCTS = {
     "seq": "p_partkey",
@@ -76,6 +78,27 @@ ORDER_PRODUCTS = {
     "discount": "cast(o_orderkey % 2001 AS double) - 1000",
 }
 
+# Lines of a product file: bad prices and counts, rows with a cell too many or too few.
+BROKEN_PRICE = "CASE WHEN o_orderkey % 7 = 1 THEN 'abc' ELSE '12.50' END"
+BROKEN_COUNT = "CASE o_orderkey % 7 WHEN 2 THEN 'n/a' WHEN 3 THEN '3000000000' ELSE '5' END"
+BROKEN_LINE = (
+    "CASE WHEN o_orderkey % 7 = 5 THEN concat(cast(o_orderkey AS string), ',n') ELSE concat("
+    f"cast(o_orderkey AS string), ',n,20.00,', {BROKEN_PRICE}, ',f,b,', {BROKEN_COUNT}, "
+    "',1.5,1,s,2,c,3,4.5', CASE WHEN o_orderkey % 7 = 4 THEN ',surplus' ELSE '' END) END"
+)
+
+# Change messages: a price that is no base64, one beyond its type, a count beyond its type,
+# an empty price, and a sound one.
+BROKEN_CHANGE = (
+    "concat('{\"payload\":{\"op\":\"c\",\"after\":{\"id\":\"', cast(o_orderkey AS string), '\",\"price\":\"', "
+    "CASE o_orderkey % 5 WHEN 1 THEN '!!' WHEN 2 THEN 'AQEBAQEBAQEB' WHEN 4 THEN '' ELSE 'nA==' END, "
+    "'\",\"review_count\":', CASE WHEN o_orderkey % 5 = 3 THEN '3000000000' ELSE '5' END, '}}}')"
+)
+
+# Prices as text, some no numbers.
+TEXT_ORIGINAL = "CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE cast(p_retailprice AS string) END"
+TEXT_PRICE = "CASE WHEN p_partkey % 11 = 0 THEN '' ELSE cast(p_size AS string) END"
+
 # Product events from the events table.
 EVENT_PRODUCTS = {
     "event_id": "event_id",
@@ -106,15 +129,7 @@ def part_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem"))
-    return with_table_discount(derived(lines, LINE_PRODUCTS))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in a few unsplittable files; a table with
-    enough files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return with_table_discount(derived(table(spark, sf_dir, "lineitem"), LINE_PRODUCTS))
 
 
 def with_table_discount(products: DataFrame) -> DataFrame:
@@ -169,3 +184,14 @@ def change_topic(products: DataFrame, orders_every: int | None = None) -> DataFr
         source.alias("_table"),
     )
     return routed(rows, server, schema, F.col("_table")).select(*TOPIC_ROW.names)
+
+
+def as_topic(messages: DataFrame) -> DataFrame:
+    """Topic rows of ``seq`` and ``value`` (text)."""
+    seq = F.col("seq")
+    rows = messages.select(
+        text_to_bytes(seq.cast("string")).alias("key"), text_to_bytes(F.col("value")).alias("value"),
+        (seq % 4).cast("int").alias("partition"), seq.cast("bigint").alias("offset"),
+        F.timestamp_seconds(seq + 1704067200).alias("timestamp"), F.lit(0).alias("timestampType"),
+    )
+    return routed(rows, *CHANGE_TOPIC).select(*TOPIC_ROW.names)

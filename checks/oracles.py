@@ -6,7 +6,6 @@ from checks import fixtures as fx
 from sluiceway.schemas import (
     DECIMAL_COLUMNS,
     EVENT,
-    LOAD_ROWS,
     PRODUCT_COLUMNS,
 )
 
@@ -16,7 +15,7 @@ def _select(columns: dict[str, str], source: str) -> str:
 
 
 def _discount(original: str, price: str) -> str:
-    original, price = f"cast({original} AS double)", f"cast({price} AS double)"
+    original, price = f"try_cast({original} AS double)", f"try_cast({price} AS double)"
     return f"round(({original} - {price}) / nullif({original}, 0) * 100, 2)"
 
 
@@ -132,7 +131,11 @@ ORACLES: dict[str, str] = {
     "csv_scan_inferred": "SELECT * REPLACE (cast(p_partkey AS integer) AS p_partkey) FROM part",
     "csv_scan_limit": (
         "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders "
-        f"ORDER BY o_orderkey LIMIT {LOAD_ROWS}"
+        f"ORDER BY o_orderkey LIMIT {fx.LOAD_ROWS}"
+    ),
+    "csv_head_file_order": (
+        "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders "
+        f"ORDER BY o_orderkey LIMIT {fx.LOAD_ROWS}"
     ),
     "csv_sink_roundtrip": (
         f"SELECT {_columns('double', trim=True)} FROM {PARTS}"
@@ -146,6 +149,10 @@ ORACLES: dict[str, str] = {
     "discount_pct_lines": (
         f"SELECT l_orderkey, l_linenumber, cast({_CUT_LINES} AS decimal(12,2)) AS discount FROM lineitem"
     ),
+    "discount_pct_text": (
+        f"SELECT p_partkey AS id, cast({_discount(f'({fx.TEXT_ORIGINAL})', f'({fx.TEXT_PRICE})')} AS decimal(12,2)) "
+        "AS discount FROM part"
+    ),
     "positional_bind": f"SELECT {', '.join(PRODUCT_COLUMNS)} FROM {PARTS}",
     "timestamp_format": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created FROM events",
     "constraint_split": f"SELECT id, reject_reason FROM {CHECKED}",
@@ -156,6 +163,19 @@ ORACLES: dict[str, str] = {
     "constraint_reasons": f"SELECT reject_reason, count(*) AS row_count FROM {CHECKED} GROUP BY reject_reason",
     "typed_table_recreate": f"SELECT {_typed()} FROM {PARTS}",
     "table_append": f"{ACCEPTED} UNION ALL SELECT {_typed()} FROM {PARTS}",
+    "load_repeated": f"{ACCEPTED} UNION ALL SELECT {_typed()} FROM {PARTS}",
+    "product_file_rejects": (
+        "SELECT cast(o_orderkey AS varchar) AS id, "
+        f"CASE WHEN o_orderkey % 7 <> 5 THEN {fx.BROKEN_COUNT} END AS review_count, "
+        f"CASE WHEN o_orderkey % 7 <> 5 THEN {fx.BROKEN_PRICE} END AS price, "
+        "CASE WHEN o_orderkey % 7 = 1 THEN 'price decimal(10,2)' WHEN o_orderkey % 7 IN (2, 3) "
+        "THEN 'review_count int' ELSE 'corrupt record' END AS reject_reason "
+        "FROM orders WHERE o_orderkey % 7 BETWEEN 1 AND 5"
+    ),
+    "product_file_accepted": (
+        "SELECT cast(o_orderkey AS varchar) AS id, cast(12.5 AS decimal(10,2)) AS price, "
+        "cast(5 AS integer) AS review_count FROM orders WHERE o_orderkey % 7 NOT BETWEEN 1 AND 5"
+    ),
     "product_file_load": (
         f"SELECT {_typed().replace('fulfillment_type', 'trim(fulfillment_type) AS fulfillment_type')} FROM {PARTS}"
     ),
@@ -194,6 +214,15 @@ ORACLES: dict[str, str] = {
         "json_object('payload', json_object('before', json_object('id', id), 'op', 'd'))::varchar END AS value, "
         f"{KIND} AS kind FROM {PARTS} WHERE NOT ({HAS_IMAGE})"
     ),
+    "cdc_undecodable_rejects": (
+        "SELECT cast(o_orderkey AS varchar) AS key, 'undecodable' AS kind FROM orders "
+        "WHERE o_orderkey % 5 BETWEEN 1 AND 3"
+    ),
+    "cdc_undecodable_rows": (
+        "SELECT cast(o_orderkey AS varchar) AS id, "
+        "cast(CASE WHEN o_orderkey % 5 = 0 THEN -1 END AS decimal(12,2)) AS price, "
+        "cast(5 AS integer) AS review_count FROM orders WHERE o_orderkey % 5 IN (0, 4)"
+    ),
     "cdc_batch_stream_parity": (
         "SELECT count(*) AS batch_rows, cast(0 AS bigint) AS only_batch, cast(0 AS bigint) AS only_stream "
         f"FROM {PARTS} WHERE {HAS_IMAGE}"

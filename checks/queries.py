@@ -26,10 +26,10 @@ from sluiceway.schemas import (
     DOUBLE_ROW,
     EVENT,
     LAKE_DECIMAL,
-    LOAD_ROWS,
     PRODUCT_COLUMNS,
     RAW_ROW,
     REJECT_ROW,
+    TABLE,
     TOPIC_ROW,
 )
 from sluiceway.sources.avro_schema import read_avro_schema, to_avro_schema
@@ -41,7 +41,6 @@ from sluiceway.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-STREAM_TIMEOUT = 3600.0
 
 
 def query(run: Query) -> Query:
@@ -70,11 +69,20 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+@query
+def csv_head_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of several files that are in order of the key."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    files = orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey")
+    path, schema = _csv_copy(spark, files)
+    return read_csv_head(spark, path, fx.LOAD_ROWS, schema)
+
+
 @query
 def csv_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     path, schema = _csv_copy(spark, orders)
-    return read_csv_head(spark, path, LOAD_ROWS, schema, order_by="o_orderkey")
+    return read_csv_head(spark, path, fx.LOAD_ROWS, schema, order_by="o_orderkey")
 
 
 def _raw_file(spark: SparkSession, sf_dir: str) -> str:
@@ -111,6 +119,15 @@ def discount_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("discount", F.col("discount").try_cast(LAKE_DECIMAL))
 
 
+@query
+def discount_pct_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices as text, some of which are no numbers."""
+    part = fx.table(spark, sf_dir, "part")
+    prices = part.selectExpr("p_partkey AS id", f"{fx.TEXT_ORIGINAL} AS original_price", f"{fx.TEXT_PRICE} AS price")
+    cut = products.with_discount(prices)
+    return cut.select("id", F.col("discount").try_cast(LAKE_DECIMAL).alias("discount"))
+
+
 @query
 def discount_pct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = discount_percent(
@@ -173,9 +190,9 @@ def _database(spark: SparkSession) -> str:
 
 @query
 def typed_table_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"{_database(spark)}.products"
-    for _ in range(2):  # the second one drops what the first one made
-        catalog.recreate_table(spark, name, location=fresh_folder(spark))
+    name, place = f"{_database(spark)}.products", fresh_folder(spark)
+    for _ in range(2):  # the second one drops what the first one made, files included
+        catalog.recreate_table(spark, name, location=place)
         catalog.append_rows(fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS), name)
     return spark.table(name)
 
@@ -193,6 +210,36 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query
+def load_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, one of which is made twice under its id."""
+    name, rejects = f"{_database(spark)}.products", fresh_folder(spark)
+    catalog.recreate_table(spark, name, location=fresh_folder(spark), by_load=True)
+    orders = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
+    for load_id in ("orders", "orders"):
+        jobs.load_catalog_table(orders, name, rejects, load_id)
+    jobs.load_catalog_table(fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS), name, rejects, "parts")
+    return spark.table(name).drop(catalog.LOAD)
+
+
+@query
+def product_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose cells and rows are broken in several ways: what is kept aside, and why."""
+    path = fresh_folder(spark)
+    fx.table(spark, sf_dir, "orders").selectExpr(f"{fx.BROKEN_LINE} AS line").write.text(path)
+    rows = jobs.read_products(spark, path, TABLE, header=False)
+    kept = jobs.checked_products(rows).rejected
+    return kept.select("id", "review_count", "price", constraints.REASON)
+
+
+@query
+def product_file_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark)
+    fx.table(spark, sf_dir, "orders").selectExpr(f"{fx.BROKEN_LINE} AS line").write.text(path)
+    rows = jobs.read_products(spark, path, TABLE, header=False)
+    return jobs.checked_products(rows).accepted.select("id", "price", "review_count")
+
+
 @query
 def product_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned, rejects = fresh_folder(spark), fresh_folder(spark)
@@ -206,6 +253,9 @@ def product_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- change messages -------------------------------------------------------------
 
 
+REPLAY_FILES = 6
+
+
 def _part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.change_topic(fx.part_products(spark, sf_dir))
 
@@ -293,7 +343,7 @@ def _sink(spark: SparkSession) -> Sink:
 
 def _append(spark: SparkSession, captured: str, sink: Sink) -> None:
     topic = read_topic(spark, path=captured, format="parquet")
-    wait(append_changes(topic, sink), timeout=STREAM_TIMEOUT)
+    wait(append_changes(topic, sink))
 
 
 @query
@@ -301,7 +351,7 @@ def cdc_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = _captured(spark, _part_changes(spark, sf_dir))
     sink = _sink(spark)
     topic = read_topic(spark, path=captured, format="parquet")
-    wait(start_append(topic, sink), STREAM_TIMEOUT)
+    wait(start_append(topic, sink))
     return spark.read.schema(TOPIC_ROW).parquet(sink.path).select(
         bytes_to_text(F.col("key")).alias("key"),
         F.col("value").isNull().alias("value_is_null"),
@@ -342,7 +392,7 @@ def cdc_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = _captured(spark, _part_changes(spark, sf_dir))
     sink = _sink(spark)
     topic = read_topic(spark, path=captured, format="parquet")
-    wait(append_rejects(topic, sink), STREAM_TIMEOUT)
+    wait(append_rejects(topic, sink))
     return read_lake(spark, sink.path, schema=REJECT_ROW).select(
         bytes_to_text(F.col("key")).alias("key"),
         bytes_to_text(F.col("value")).alias("value"),
@@ -350,6 +400,24 @@ def cdc_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _broken_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = fx.table(spark, sf_dir, "orders")
+    return fx.as_topic(orders.selectExpr("o_orderkey AS seq", f"{fx.BROKEN_CHANGE} AS value"))
+
+
+@query
+def cdc_undecodable_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row messages with a value that is lost in parsing or decoding."""
+    return changes.rejects(_broken_changes(spark, sf_dir)).select(
+        bytes_to_text(F.col("key")).alias("key"), "kind"
+    )
+
+
+@query
+def cdc_undecodable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.table_rows(_broken_changes(spark, sf_dir)).select("id", "price", "review_count")
+
+
 @query
 def cdc_batch_stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that only the batch or only the stream wrote, copies counted."""
@@ -377,10 +445,10 @@ def cdc_batch_stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of orders replayed in portions and appended as they arrive."""
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    path, schema = _csv_copy(spark, orders)
+    path, schema = _csv_copy(spark, orders.repartitionByRange(REPLAY_FILES, "o_orderkey"))
     sink = _sink(spark)
-    arriving = replay(spark, path, schema, bytes_per_batch=2**30)
-    wait(start_append(arriving, sink), STREAM_TIMEOUT)
+    arriving = replay(spark, path, schema, files_per_batch=2)
+    wait(start_append(arriving, sink))
     return spark.read.schema(schema).parquet(sink.path)
 
 

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def fresh_folder(spark: SparkSession) -> str:
-    """A new folder name under the shared one that the session names.
+    """A new folder name under the one that the session names for checkpoints.
 
-    Only a local session without that setting gets a temporary folder of this
-    machine; on a cluster its executors would not see it.
+    A session without that setting gets one under its warehouse. Executors share
+    either; a temporary folder of one machine is never used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="sluiceway-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

@@ -9,8 +9,9 @@ EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"  # fixed value: event time as text
 
 
 def discount_percent(original: Column, price: Column) -> Column:
-    """Price cut in percent, two places; null when the original price is zero."""
-    original, price = original.cast("double"), price.cast("double")
+    """Price cut in percent, two places; null when the original price is zero or either
+    one is no number."""
+    original, price = original.try_cast("double"), price.try_cast("double")
     return F.round(F.try_divide(original - price, original) * 100, 2)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.functions.decimals import decode_columns
 from sluiceway.functions.expressions import bytes_to_text, topic_name
@@ -26,6 +26,9 @@ from sluiceway.schemas import (
 )
 
 ROW, DELETE, TOMBSTONE, MALFORMED, EMPTY = "row", "delete", "tombstone", "malformed", "empty"
+UNDECODABLE = "undecodable"
+BROKEN = "_broken"  # text of a message with a value that its declared type cannot hold
+CHECKED_CHANGE = StructType([*CHANGE.fields, StructField(BROKEN, StringType())])
 
 
 def of_tables(topic: DataFrame, *tables: tuple[str, str, str]) -> DataFrame:
@@ -41,7 +44,8 @@ def routed(df: DataFrame, server: str, schema: Column | str, table: Column | str
 
 
 def _parsed(schema: StructType) -> Column:
-    return F.from_json(bytes_to_text(F.col("value")), schema).alias("change")
+    text, broken = bytes_to_text(F.col("value")), {"columnNameOfCorruptRecord": BROKEN}
+    return F.from_json(text, schema, broken).alias("change")
 
 
 def _kind() -> Column:
@@ -82,19 +86,33 @@ def decoded(images: DataFrame, signed: bool = True) -> DataFrame:
     )
 
 
-def table_rows(topic: DataFrame, signed: bool = True) -> DataFrame:
-    """Change messages to lake rows: parse, keep row images, decode."""
-    return decoded(images(topic), signed).select(*PRODUCT_COLUMNS)
-
-
-def rejects(topic: DataFrame) -> DataFrame:
-    """Messages that carry no row image, whole, with their kind.
+def checked_images(topic: DataFrame, signed: bool = True) -> DataFrame:
+    """Each message whole in ``message``, its decoded image, and its ``kind``.
 
-    Parses only the outline of a message, not its fourteen columns.
+    A row image of which the parser dropped a value, or with a decimal that cannot be
+    decoded, is of the kind ``undecodable``: a null would lose the value unseen.
     """
-    kept = F.struct("kind", *(F.col(name) for name in topic.columns))
-    return (
-        topic.select("*", _parsed(CHANGE_OUTLINE))
-        .withColumn("kind", _kind())
-        .select(F.inline(F.when(F.col("kind") != ROW, F.array(kept))))
+    message = F.struct(*(F.col(name) for name in topic.columns)).alias("message")
+    parsed = (
+        topic.select("value", message, _parsed(CHECKED_CHANGE))
+        .select("message", _kind().alias("kind"), f"change.{BROKEN}", "change.payload.after.*")
+        .withColumns({f"_{name}": F.col(name) for name in DECIMAL_COLUMNS})
+    )
+    lost = " OR ".join(f"(`{name}` IS NULL AND `_{name}` <> '')" for name in DECIMAL_COLUMNS)
+    return decoded(parsed, signed).select(
+        "message", *PRODUCT_COLUMNS,
+        F.expr(f"CASE WHEN kind = '{ROW}' AND ({BROKEN} IS NOT NULL OR {lost}) THEN '{UNDECODABLE}' ELSE kind END")
+        .alias("kind"),
     )
+
+
+def table_rows(topic: DataFrame, signed: bool = True) -> DataFrame:
+    """Change messages to lake rows: parse, keep row images without a lost value, decode."""
+    row = F.array(F.struct(*PRODUCT_COLUMNS))
+    return checked_images(topic, signed).select(F.inline(F.when(F.col("kind") == ROW, row)))
+
+
+def rejects(topic: DataFrame, signed: bool = True) -> DataFrame:
+    """All other messages, whole, with their kind."""
+    message = F.array(F.struct("kind", "message.*"))
+    return checked_images(topic, signed).select(F.inline(F.when(F.col("kind") != ROW, message)))

@@ -16,12 +16,24 @@ from sluiceway.sources.avro_schema import avro_type
 def project_fields(
     df: DataFrame, schema: StructType = EVENT, exclude: Sequence[str] = EVENT_OWN_FIELDS
 ) -> DataFrame:
-    """Columns of a declared schema except ``exclude``, cast to their types."""
+    """Columns of a declared schema except ``exclude``, cast to their types.
+
+    A value that its type cannot hold becomes null; ``bad_events`` finds such rows.
+    """
     return df.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name not in exclude)
+        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema if f.name not in exclude)
     )
 
 
+def bad_events(df: DataFrame, schema: StructType = EVENT) -> DataFrame:
+    """Rows with a value that its declared type cannot hold, with the names of such columns."""
+    bad = F.filter(F.array(*(
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f.name)
+        for f in schema if f.name in df.columns
+    )), lambda name: name.isNotNull())
+    return df.withColumn("bad_fields", bad).where(F.size("bad_fields") > 0)
+
+
 def schema_block(schema: StructType = EVENT) -> Column:
     """The ``schema`` member of a record, a constant of the query."""
     fields = [
@@ -35,7 +47,7 @@ def event_json(created: Column, schema: StructType = EVENT) -> Column:
     """JSON text of one event; null members are written, not left out."""
     payload = F.struct(
         created.alias("created"),
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema),
+        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema),
     )
     record = F.struct(schema_block(schema).alias("schema"), payload.alias("payload"))
     return F.to_json(record, {"ignoreNullFields": "false"})

@@ -5,11 +5,16 @@ Which catalog that is (in memory, a metastore, a lake catalog) is configuration.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DecimalType, StructType
 
 from sluiceway.operators.products import bind_by_position
-from sluiceway.schemas import LAKE_ROW, PARTITION_COLUMN, TABLE, columns_ddl
+from sluiceway.schemas import LAKE_ROW, PARTITION_COLUMN, TABLE, columns_ddl, plain
+
+#: Partition column of tables that keep the load that rows came with.
+LOAD = "load_id"
 
 
 def _quoted(text: str) -> str:
@@ -26,11 +31,28 @@ def recreate_table(
     schema: StructType = TABLE,
     format: str = "parquet",
     location: str | None = None,
+    by_load: bool = False,
 ) -> None:
-    """Drop the table if it is there and create it empty, with declared types."""
+    """Drop the table if it is there and create it empty, with declared types.
+
+    Dropping a table at a location leaves its files, so what is there is overwritten
+    by nothing. ``by_load`` partitions the table by the load that rows came with, which
+    ``replace_load`` needs.
+    """
     place = f" LOCATION {_quoted(location)}" if location else ""
+    columns, parts = columns_ddl(schema), ""
+    if by_load:
+        columns, parts = f"{columns}, `{LOAD}` string", f" PARTITIONED BY ({LOAD})"
+    if location and spark.catalog.tableExists(name):
+        _overwrite_by_nothing(spark, name)  # the partitions that the catalog knows
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns_ddl(schema)}) USING {format}{place}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {format}{parts}{place}")
+    if location and not by_load:
+        _overwrite_by_nothing(spark, name)  # files that another table left
+
+
+def _overwrite_by_nothing(spark: SparkSession, name: str) -> None:
+    spark.createDataFrame([], plain(spark.table(name).schema)).write.insertInto(name, overwrite=True)
 
 
 def table_columns(spark: SparkSession, name: str) -> list[str]:
@@ -44,6 +66,20 @@ def append_rows(df: DataFrame, name: str) -> None:
     bind_by_position(df, columns).write.insertInto(name)
 
 
+def replace_load(df: DataFrame, name: str, load_id: str) -> None:
+    """Rows of one load to a table partitioned by load, in place of any with that id."""
+    spark = df.sparkSession
+    columns = [column for column in table_columns(spark, name) if column != LOAD]
+    view = f"load_{uuid.uuid4().hex}"
+    bind_by_position(df, columns).createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD} = {_quoted(load_id)}) SELECT * FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -58,7 +94,14 @@ def register_table(
     recovered. Output of a streaming file sink brings its own file listing, and
     Delta its own log; there the catalog tracks nothing. Over the former Spark may
     also guess partition types; a table with other types than ``schema`` is refused.
+
+    A table of that name that is there already is left as it is, and refused if its
+    location, format, partitioning or types are others.
     """
+    if spark.catalog.tableExists(name):
+        _check_same(spark, name, location, schema if format != "delta" else None, format, partition_by)
+        refresh_table(spark, name)
+        return
     if format == "delta":
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION {_quoted(location)}")
         return
@@ -68,15 +111,45 @@ def register_table(
         f"USING {format}{parts} LOCATION {_quoted(location)}"
     )
     refresh_table(spark, name)
-    found = {f.name: f.dataType for f in spark.table(name).schema}
-    if changed := [f.name for f in schema if found[f.name] != f.dataType]:
-        spark.sql(f"DROP TABLE {name}")
+    if changed := _other_types(spark, name, schema):
+        spark.sql(f"DROP TABLE {name}")  # made above; its files stay
         raise ValueError(
             f"{name}: types of {changed} would be guessed from directory names; set "
             "spark.sql.sources.partitionColumnTypeInference.enabled to false"
         )
 
 
+def _other_types(spark: SparkSession, name: str, schema: StructType) -> list[str]:
+    found = {f.name: f.dataType for f in spark.table(name).schema}
+    return [f.name for f in schema if found.get(f.name) != f.dataType]
+
+
+def _place(location: str, with_scheme: bool) -> str:
+    scheme, _, path = location.rpartition(":")
+    path = "/" + path.strip("/")
+    return f"{scheme}:{path}" if with_scheme else path
+
+
+def _check_same(
+    spark: SparkSession, name: str, location: str, schema: StructType | None, format: str, partition_by: str | None
+) -> None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    told = {row["col_name"]: row["data_type"] for row in rows}
+    parts = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+    scheme = ":" in location
+    differences = []
+    if _place(told.get("Location", ""), scheme) != _place(location, scheme):
+        differences.append(f"location {told.get('Location')}")
+    if told.get("Provider", "").lower() != format.lower():
+        differences.append(f"format {told.get('Provider')}")
+    if format != "delta" and parts and parts != [partition_by]:
+        differences.append(f"partitioning by {parts}")
+    if schema is not None and (changed := _other_types(spark, name, schema)):
+        differences.append(f"types of {changed}")
+    if differences:
+        raise ValueError(f"{name} exists with other {', '.join(differences)}; it is left as it is")
+
+
 def refresh_table(spark: SparkSession, name: str) -> None:
     """Show files and partitions that were written past the catalog."""
     if any(column.isPartition for column in spark.catalog.listColumns(name)):

@@ -1,23 +1,27 @@
 """The jobs that users run, put together from operators, sources and sinks.
 
-A load reads its source once for the table and once more if rejects are kept: both
-are plain scans, where holding the rows between them would need room for all.
+A load reads its source once for the table and once more for the rejects: both are
+plain scans, where holding the rows between them would need room for all. The rejects
+are written first, and both go under the load's id, so that a load that died is
+repeated with the same id and replaces what it had written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sluiceway.operators.constraints import accepted, check_constraints, rejected
+from sluiceway.operators.constraints import CORRUPT, accepted, check_constraints, rejected
 from sluiceway.operators.products import bind_by_position, clean_products
 from sluiceway.plans import catalog
 from sluiceway.schemas import PRODUCT_COLUMNS
 from sluiceway.sources import jdbc
-from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
+from sluiceway.sources.csv import read_csv, read_csv_head, read_csv_text, write_csv
 from sluiceway.streaming.changes import Sink, append_changes, append_rejects
 
 
@@ -45,61 +49,98 @@ class CheckedRows:
 
 
 def checked_products(df: DataFrame) -> CheckedRows:
-    """Bind rows to the product table by position and check its constraints."""
-    checked = check_constraints(bind_by_position(df, PRODUCT_COLUMNS))
+    """Bind rows to the product table by position and check its constraints.
+
+    Rows that the CSV reader marked as broken are rejected whatever their cells hold.
+    """
+    if CORRUPT in df.columns:
+        names = [name for name in df.columns if name != CORRUPT]
+        bound = bind_by_position(df.select(*names, CORRUPT), [*PRODUCT_COLUMNS, CORRUPT])
+    else:
+        bound = bind_by_position(df, PRODUCT_COLUMNS)
+    checked = check_constraints(bound)
     return CheckedRows(accepted(checked), rejected(checked))
 
 
 def read_products(
     spark: SparkSession,
     source: str,
-    schema: StructType | str | None = None,
+    schema: StructType,
     rows: int | None = None,
     **options,
 ) -> DataFrame:
-    """Cleaned products from CSV: all of them, or the first ``rows`` in file order."""
+    """Cleaned products from CSV as text, broken rows marked: all, or the first ``rows``
+    in file order. ``schema`` names the columns; the constraint check types them."""
     if rows is None:
-        return read_csv(spark, source, schema, **options)
-    return read_csv_head(spark, source, rows, schema, **options)
+        return read_csv_text(spark, source, schema.names, **options)
+    text = ", ".join(f"`{name}` string" for name in [*schema.names, CORRUPT])
+    return read_csv_head(
+        spark, source, rows, text, columnNameOfCorruptRecord=CORRUPT, columnPruning=False, **options
+    )
 
 
 def load_catalog_table(
-    df: DataFrame, table: str, rejects_path: str | None = None
+    df: DataFrame, table: str, rejects_path: str | None = None, load_id: str | None = None
 ) -> CheckedRows:
-    """Append the rows that a catalog table accepts; keep the rest as Parquet."""
+    """Load the rows that a catalog table accepts; keep the rest as Parquet.
+
+    With ``load_id`` a table that is partitioned by load takes the rows in place of
+    those of an earlier attempt with that id. Without it rows are appended.
+    """
     checked = checked_products(df)
-    catalog.append_rows(checked.accepted, table)
-    _keep_rejects(checked, rejects_path)
+    _keep_rejects(checked, rejects_path, load_id)
+    if load_id is None:
+        catalog.append_rows(checked.accepted, table)
+    else:
+        catalog.replace_load(checked.accepted, table, load_id)
     return checked
 
 
 def load_jdbc_table(
-    df: DataFrame, table: jdbc.JdbcTable, rejects_path: str | None = None, **options
-) -> int:
-    """Append the rows that a relational table accepts; keep the rest as Parquet."""
+    df: DataFrame,
+    table: jdbc.JdbcTable,
+    rejects_path: str | None = None,
+    load_id: str | None = None,
+    **options,
+) -> CheckedRows:
+    """Load the rows that a relational table accepts; keep the rest as Parquet.
+
+    With ``load_id`` the rows go to a staging table of that load, which an attempt
+    creates anew and the database then takes over; see ``jdbc.staging_table``.
+    """
     checked = checked_products(df)
-    rows = jdbc.append_rows(checked.accepted, table, **options)
-    _keep_rejects(checked, rejects_path)
-    return rows
+    _keep_rejects(checked, rejects_path, load_id)
+    if load_id is None:
+        jdbc.append_rows(checked.accepted, table, **options)
+    else:
+        staging = jdbc.staging_table(table, load_id)
+        jdbc.recreate_table(df.sparkSession, staging)
+        jdbc.append_rows(checked.accepted, staging, PRODUCT_COLUMNS, **options)
+    return checked
+
+
+def reject_counts(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """Rejected rows per load and reason, from what was kept."""
+    kept = spark.read.parquet(rejects_path)
+    load = F.col(catalog.LOAD) if catalog.LOAD in kept.columns else F.lit(None).cast("string")
+    return kept.groupBy(load.alias(catalog.LOAD), "reject_reason").agg(F.count("*").alias("row_count"))
 
 
 def start_paced_load(
-    arriving: DataFrame, table: jdbc.JdbcTable, checkpoint: str, interval: str, **options
+    arriving: DataFrame, load: Callable[[DataFrame, str], object], checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Load a replayed stream into a relational table, a portion per ``interval``.
+    """Load a replayed stream, a portion per ``interval``; all that is there without one.
 
-    A portion that was loaded but not yet recorded when the job died is loaded again.
+    ``load`` gets a portion and its id, such as ``lambda rows, id:
+    load_catalog_table(rows, "lake.products", "s3a://rejects", load_id=id)``. A portion
+    that was loaded but not yet recorded when the job died is loaded again with the
+    same id.
     """
-
-    def load(portion: DataFrame, _: int) -> None:
-        load_jdbc_table(portion, table, **options)
-
-    return (
-        arriving.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=interval)
-        .start()
-    )
+    writer = arriving.writeStream.foreachBatch(
+        lambda portion, number: load(portion, f"{number:010d}") and None
+    ).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def stream_changes(
@@ -112,6 +153,10 @@ def stream_changes(
     return [query for query in started if query is not None]
 
 
-def _keep_rejects(checked: CheckedRows, path: str | None) -> None:
-    if path is not None:
+def _keep_rejects(checked: CheckedRows, path: str | None, load_id: str | None) -> None:
+    if path is None:
+        return
+    if load_id is None:
         checked.rejected.write.mode("append").parquet(path)
+    else:
+        checked.rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{catalog.LOAD}={load_id}")

@@ -59,7 +59,6 @@ PARTITION_COLUMN = "brand"
 CHANGE_TOPIC = ("sales", "public", "products")  # server, schema, table
 EVENT_TOPIC = "product_input"
 EVENT_OWN_FIELDS = ("created", "product_id")  # set by the producer, not by its schema
-LOAD_ROWS = 2000  # rows that a limited load takes from the product file
 # End of fixed values.
 
 PRODUCT_COLUMNS = tuple(TABLE.names)

@@ -49,8 +49,14 @@ def _field_type(field: dict) -> DataType:
 
 
 def read_avro_schema(spark: SparkSession, path: str) -> StructType:
-    """Schema from a file on any file system that Spark reaches (one small file)."""
-    return parse_avro_schema(spark.read.text(path, wholetext=True).first()[0])
+    """Schema from a file on any file system that Spark reaches (one small file).
+
+    A folder with several files is refused, as any one of them could be meant.
+    """
+    texts = [row[0] for row in spark.read.text(path, wholetext=True).take(2)]
+    if len(texts) != 1:
+        raise ValueError(f"{path} holds {'no' if not texts else 'more than one'} schema file")
+    return parse_avro_schema(texts[0])
 
 
 def to_avro_schema(schema: StructType, name: str) -> str:

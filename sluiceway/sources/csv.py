@@ -3,32 +3,72 @@
 Quotes inside a field are doubled, as in RFC 4180, so that Spark and other CSV
 readers agree on the text. Blanks around values are kept on writing; Spark's own
 default drops them. Fields with line breaks need ``multiLine=True``, which makes a
-file unsplittable, so it is off unless asked for.
+file unsplittable, so it is off unless asked for; without it such a record is two
+broken ones, which ``read_csv_text`` marks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from sluiceway.operators.constraints import CORRUPT
 
 DIALECT = {"header": True, "quote": '"', "escape": '"'}
 CHECK_HEADER = {"enforceSchema": False}
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, **options
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, **options
 ) -> DataFrame:
     """Rows of ``path``. Without ``schema`` the types are inferred, which reads the
     files once more; ``samplingRatio`` reduces how many values that looks at. A
     ``schema`` must agree with the header: Spark's default is to apply it by position
-    whatever the header says."""
+    whatever the header says. A cell that is not of its type becomes null; where that
+    matters, use ``read_csv_text``."""
     reader = spark.read.options(**{**DIALECT, **CHECK_HEADER, **options})
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
 
 
+def read_csv_text(spark: SparkSession, path: str, columns: list[str], **options) -> DataFrame:
+    """Rows as text, and in ``_corrupt_record`` the line of a row with too few or too
+    many cells. No cell is lost: typing them is left to the constraint check."""
+    schema = StructType([StructField(name, StringType()) for name in [*columns, CORRUPT]])
+    # Whether a row has all its cells shows only if all of them are read.
+    marks = {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
+    return spark.read.options(**{**DIALECT, **CHECK_HEADER, **marks, **options}).schema(schema).csv(path)
+
+
+def file_place() -> list[Column]:
+    """Where a row stands among its files: path, block, row."""
+    return [
+        F.col("_metadata.file_path").alias("__0"),
+        F.col("_metadata.file_block_start").alias("__1"),
+        F.monotonically_increasing_id().alias("__2"),
+    ]
+
+
+def first_files(df: DataFrame, rows: int, read: Callable[[list[str]], DataFrame]) -> list[str]:
+    """As many files of ``df``, in the order of their paths, as hold ``rows`` rows.
+
+    Reads files one after the other and stops at the first that fills the number, so
+    files behind it are not opened.
+    """
+    chosen, found = [], 0
+    for file in sorted(map(unquote, df.inputFiles())):
+        if found >= rows:
+            break
+        chosen.append(file)
+        found += read([file]).limit(rows - found).count()
+    return chosen
+
+
 def read_csv_head(
     spark: SparkSession,
     path: str,
@@ -40,18 +80,21 @@ def read_csv_head(
     """The first ``rows`` rows, by ``order_by`` or else in file order.
 
     Both are a top-k: every task keeps at most ``rows`` rows, nothing is sorted
-    as a whole.
+    as a whole. In file order only the files that are needed are read.
     """
     df = read_csv(spark, path, schema, **options)
     if order_by is not None:
         return df.orderBy(order_by).limit(rows)
-    place = ("_metadata.file_path", "_metadata.file_block_start")
+
+    def read(files: list[str]) -> DataFrame:
+        return read_csv(spark, files, df.schema, **options)
+
+    needed = first_files(df, rows, read)
+    if not needed:
+        return df.limit(0)
     return (
-        df.select("*", *(F.col(p).alias(f"__{i}") for i, p in enumerate(place)))
-        .withColumn("__row", F.monotonically_increasing_id())
-        .orderBy("__0", "__1", "__row")
-        .limit(rows)
-        .drop("__0", "__1", "__row")
+        read(needed).select("*", *file_place())
+        .orderBy("__0", "__1", "__2").limit(rows).drop("__0", "__1", "__2")
     )
 
 

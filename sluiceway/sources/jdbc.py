@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sluiceway.operators.products import bind_by_position
@@ -28,21 +27,25 @@ def read_table(
     spark: SparkSession,
     table: JdbcTable,
     split_on: str | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
     predicates: Sequence[str] | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Rows of a table; filters and column choice are pushed to the database.
 
-    ``split_on`` (a number, date or timestamp) reads ranges in parallel, bounds
-    being asked from the database. ``predicates``, one per task, suit tables with
-    uneven values or no such column; see ``block_predicates``.
+    ``split_on`` (a number, date or timestamp) reads ranges in ``partitions`` tasks,
+    bounds being asked from the database. ``predicates``, one per task, suit tables
+    with uneven values or no such column; see ``block_predicates``. A table is read by
+    a single task only if it is declared ``small``.
     """
     if predicates is not None:
         return spark.read.jdbc(
             table.url, table.name, predicates=list(predicates), properties=table.properties
         )
-    if split_on is None or partitions <= 1:
+    if small:
         return spark.read.jdbc(table.url, table.name, properties=table.properties)
+    if split_on is None or partitions is None:
+        raise ValueError(f"{table.name}: give split_on and partitions, or predicates, or small=True")
     bounds = _query(spark, table, f"select min({split_on}) lo, max({split_on}) hi from {table.name}")
     low, high = bounds.first()
     if low is None:
@@ -86,38 +89,37 @@ def recreate_table(spark: SparkSession, table: JdbcTable, schema: StructType = T
     )
 
 
+def staging_table(table: JdbcTable, load_id: str) -> JdbcTable:
+    """The table that one load's rows go to before the database takes them over, with
+    ``insert into t select * from t_load_<id>`` and a drop in one transaction."""
+    if not load_id.replace("_", "").isalnum():
+        raise ValueError(f"a load id of letters, digits and underscores is needed, not {load_id!r}")
+    return JdbcTable(table.url, f"{table.name}_load_{load_id}", table.properties)
+
+
 def append_rows(
     df: DataFrame,
     table: JdbcTable,
     columns: Sequence[str] | None = None,
     batch_rows: int = 10_000,
     connections: int | None = None,
-    check: bool = True,
-) -> int:
+) -> None:
     """Append rows, bound by position to ``columns`` (by default the table's own).
 
-    Values travel as typed parameters, so quotes and nulls need no care. Returns the
-    number of rows sent. Spark commits each task on its own: a task that is lost
-    after its commit is run again and its rows arrive twice. ``check`` compares the
-    table's growth with the rows sent and raises if they differ; it assumes that no
-    one else writes at the time. To be safe against it, load into a fresh table and
-    recreate that on failure.
+    Values travel as typed parameters, so quotes and nulls need no care. Spark commits
+    each task on its own: a task that is lost after its commit is run again and its
+    rows arrive twice. To be safe against it, load into a ``staging_table``, compare
+    ``row_count`` with the rows meant, and recreate it on failure.
     """
-    spark = df.sparkSession
-    bound = bind_by_position(df, columns or table_columns(spark, table))
-    before = _row_count(spark, table) if check else 0
-    sent = Observation()
+    bound = bind_by_position(df, columns or table_columns(df.sparkSession, table))
     options = {"batchsize": batch_rows}
     if connections is not None:
         options["numPartitions"] = connections
-    bound.observe(sent, F.count(F.lit(1)).alias("rows")).write.options(**options).jdbc(
+    bound.write.options(**options).jdbc(
         table.url, table.name, mode="append", properties=table.properties
     )
-    rows = sent.get["rows"]
-    if check and (added := _row_count(spark, table) - before) != rows:
-        raise RuntimeError(f"{table.name} grew by {added} rows, but {rows} were sent")
-    return rows
 
 
-def _row_count(spark: SparkSession, table: JdbcTable) -> int:
+def row_count(spark: SparkSession, table: JdbcTable) -> int:
+    """Rows of a table, counted by the database."""
     return _query(spark, table, f"select count(*) n from {table.name}").first()[0]

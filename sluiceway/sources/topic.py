@@ -56,6 +56,12 @@ def read_topic(
         if servers is None:
             raise ValueError("a kafka topic needs servers")
         known = kafka_options(servers, tables, starting_offsets, fail_on_data_loss)
+        bounds = {"maxOffsetsPerTrigger", "maxBytesPerTrigger", "minOffsetsPerTrigger"}
+        if streaming and starting_offsets == "earliest" and not bounds & options.keys():
+            raise ValueError(
+                "a stream from the earliest offset needs maxOffsetsPerTrigger: without it "
+                "the whole backlog is one batch"
+            )
         return reader.format("kafka").options(**{**known, **options}).load()
     if path is None:
         raise ValueError(f"a topic kept as {format} needs a path")

@@ -1,10 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import fixtures as fx
 from sluiceway.plans import catalog
-from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS
+from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS, plain
 from sluiceway.sources.lake import read_lake, write_lake
 from sluiceway.streaming.changes import Sink, start_append, wait
 
@@ -106,3 +106,31 @@ def test_quotes_in_a_location(spark, tmp_path):
     assert spark.catalog.getDatabase("quoted").locationUri.endswith("it's")
 
 
+def test_existing_tables_are_never_dropped(spark, database, rows, tmp_path):
+    name = f"{database}.t"
+    spark.sql(f"CREATE TABLE {name} (id int) USING parquet")
+    spark.sql(f"INSERT INTO {name} VALUES (1)")
+    with pytest.raises(ValueError, match="left as it is"):
+        catalog.register_table(spark, name, str(tmp_path / "lake"), SMALL)
+    assert spark.table(name).count() == 1
+    other, place = f"{database}.u", str(tmp_path / "lake")
+    write_lake(rows, place)
+    catalog.register_table(spark, other, place, SMALL)
+    catalog.register_table(spark, other, place, SMALL)
+    with pytest.raises(ValueError, match="location"):
+        catalog.register_table(spark, other, str(tmp_path / "elsewhere"), SMALL)
+    with pytest.raises(ValueError, match="types"):
+        catalog.register_table(spark, other, place, StructType([*SMALL.fields, StructField("more", StringType())]))
+    assert spark.table(other).count() == rows.count()
+
+
+def test_recreated_table_is_empty(spark, database, tmp_path):
+    for by_load in (False, True):
+        name, place = f"{database}.r{int(by_load)}", str(tmp_path / f"r{int(by_load)}")
+        for _ in range(2):
+            catalog.recreate_table(spark, name, SMALL, location=place, by_load=by_load)
+            assert spark.table(name).count() == 0
+            filled = spark.createDataFrame([], plain(SMALL)).schema
+            row = spark.createDataFrame([tuple(None for _ in filled)], filled)
+            catalog.replace_load(row, name, "a") if by_load else catalog.append_rows(row, name)
+            assert spark.table(name).count() == 1

@@ -46,7 +46,7 @@ def test_clean_file_and_read_back(spark, raw, tmp_path):
     write_csv(raw, str(tmp_path / "raw"))
     jobs.clean_product_file(spark, str(tmp_path / "raw"), str(tmp_path / "out"), RAW_ROW, files=1)
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
-    back = jobs.read_products(spark, str(tmp_path / "out"), DOUBLE_ROW)
+    back = read_csv(spark, str(tmp_path / "out"), DOUBLE_ROW)
     assert sorted(back.collect()) == sorted(products.clean_products(raw).collect())
     assert back.where("id = 'a1'").first().name == " n, \"q\" "  # blanks and quotes kept
 

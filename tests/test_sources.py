@@ -5,10 +5,10 @@ from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
 
-from sluiceway.operators.product_events import event_json, event_messages, project_fields
+from sluiceway.operators.product_events import bad_events, event_json, event_messages, project_fields
 from sluiceway.plans import jobs
 from sluiceway.schemas import EVENT, PRODUCT_COLUMNS, TABLE
-from sluiceway.sources import jdbc
+from sluiceway.sources import csv, jdbc
 from sluiceway.sources.avro_schema import parse_avro_schema, read_avro_schema, to_avro_schema
 from sluiceway.sources.topic import kafka_options, read_topic, write_topic
 
@@ -44,6 +44,11 @@ def test_kafka_reader_gets_all_options(spark, monkeypatch):
     assert seen == {**kafka_options("a:1"), "minPartitions": "64"}
 
 
+def test_backlog_is_read_in_bounded_batches(spark):
+    with pytest.raises(ValueError, match="maxOffsetsPerTrigger"):
+        read_topic(spark, servers="a:1")
+
+
 # -- declared schemas and events -----------------------------------------------------
 
 
@@ -126,9 +131,10 @@ def test_table_round_trip(spark, sf_dir, database_table):
     jdbc.recreate_table(spark, table)
     assert jdbc.table_columns(spark, table) == list(PRODUCT_COLUMNS)
     rows = fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS)
-    sent = jobs.load_jdbc_table(rows.toDF(*(f"c{i}" for i in range(14))), table)
-    assert sent == rows.count() == jdbc.read_table(spark, table).count()
-    assert jdbc.read_table(spark, table).exceptAll(rows).count() == 0
+    jobs.load_jdbc_table(rows.toDF(*(f"c{i}" for i in range(14))), table)
+    back = jdbc.read_table(spark, table, small=True)
+    assert rows.count() == back.count() == jdbc.row_count(spark, table)
+    assert back.exceptAll(rows).count() == 0
 
 
 def test_rejects_of_a_load_are_kept(spark, sf_dir, database_table, tmp_path):
@@ -137,27 +143,23 @@ def test_rejects_of_a_load_are_kept(spark, sf_dir, database_table, tmp_path):
     table, _ = database_table
     jdbc.recreate_table(spark, table)
     rows = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
-    sent = jobs.load_jdbc_table(rows, table, str(tmp_path / "rejects"))
+    for _ in range(2):  # a repeated load replaces its own staging table and rejects
+        jobs.load_jdbc_table(rows, table, str(tmp_path / "rejects"), load_id="7")
+    sent = jdbc.row_count(spark, jdbc.staging_table(table, "7"))
     kept = spark.read.parquet(str(tmp_path / "rejects"))
     assert 0 < sent < rows.count()
     assert sent + kept.count() == rows.count()
     assert kept.where("reject_reason IS NULL OR reject_reason = 'ok'").count() == 0
 
 
-def test_rows_that_arrive_twice_are_noticed(spark, database_table, monkeypatch):
-    table, _ = database_table
-    schema = StructType(TABLE.fields[:2])
-    jdbc.recreate_table(spark, table, schema)
-    once = DataFrameWriter.jdbc
+def test_staging_names_are_plain():
+    with pytest.raises(ValueError, match="load id"):
+        jdbc.staging_table(jdbc.JdbcTable("u", "t"), "a; drop")
 
-    def twice(self, *args, **options):
-        once(self, *args, **options)
-        self._df.write.insertInto(table.name)
 
-    monkeypatch.setattr(DataFrameWriter, "jdbc", twice)
-    df = spark.createDataFrame([("1", "a"), ("2", "b")], "x string, y string")
-    with pytest.raises(RuntimeError, match="grew by 4 rows, but 2 were sent"):
-        jdbc.append_rows(df, table)
+def test_one_task_reads_only_if_asked(spark, database_table):
+    with pytest.raises(ValueError, match="small=True"):
+        jdbc.read_table(spark, database_table[0])
 
 
 def test_parallel_reads(spark, database_table):
@@ -187,3 +189,40 @@ def test_block_predicates_cover_every_block_once():
 
 def test_properties_are_not_shown():
     assert "secret" not in repr(jdbc.JdbcTable("u", "t", {"password": "secret"}))
+
+
+def test_head_leaves_later_files_unread(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "files")
+    spark.range(0, 40, 1, 4).write.csv(path, header=True)
+    opened = []
+    monkeypatch.setattr(csv, "read_csv", lambda s, files, *a, _read=csv.read_csv, **o: (opened.append(files), _read(s, files, *a, **o))[1])
+    head = csv.read_csv_head(spark, path, 15, "id bigint")
+    assert [r.id for r in head.collect()] == list(range(15))
+    assert len(opened[-1]) == 2 and len({f for files in opened[1:] for f in files}) == 2
+    assert csv.read_csv_head(spark, path, 0, "id bigint").count() == 0
+
+
+def test_broken_file_rows_are_rejected_not_changed(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    good = "1,n,20.00,12.50,f,b,5,1.5,1,s,2,c,3,4.5"
+    lines = [good, good.replace("12.50", "abc"), good.replace(",5,", ",n/a,", 1), good.replace(",5,", ",3000000000,", 1),
+             "2,n", good + ",surplus", '3,"a', 'b",20.00,12.50,f,b,5,1.5,1,s,2,c,3,4.5']
+    spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.text(path)
+    checked = jobs.checked_products(jobs.read_products(spark, path, TABLE, header=False))
+    assert [r.id for r in checked.accepted.collect()] == ["1"]
+    reasons = sorted(r.reject_reason for r in checked.rejected.collect())
+    assert len(reasons) == 7 and sum("corrupt record" in r for r in reasons) == 4
+
+
+def test_several_schema_files_are_refused(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.avsc").write_text(to_avro_schema(StructType(EVENT.fields[:1]), "r"))
+    with pytest.raises(ValueError, match="more than one"):
+        read_avro_schema(spark, str(tmp_path))
+
+
+def test_values_that_do_not_fit_become_null_and_are_found(spark):
+    rows = spark.createDataFrame([("x", "7"), ("3", "8")], "review_count string, name string")
+    schema = StructType([f for f in EVENT if f.name in ("review_count", "name")])
+    assert [tuple(r) for r in project_fields(rows, schema).select("review_count", "name").collect()] == [(None, "7"), (3, "8")]
+    assert [r.bad_fields for r in bad_events(rows, schema).collect()] == [["review_count"]]

@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from sluiceway.plans import jobs
+from sluiceway.plans import catalog, jobs
 from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS, REJECT_ROW, TOPIC_ROW
-from sluiceway.sources import jdbc
 from sluiceway.sources.lake import read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
 from sluiceway.streaming.changes import Sink, append_changes, start_append, wait
@@ -16,7 +15,7 @@ from sluiceway.streaming.replay import replay
 @pytest.fixture
 def captured(spark, sf_dir, tmp_path):
     path = str(tmp_path / "topic")
-    fx.change_topic(fx.line_products(spark, sf_dir)).write.parquet(path)
+    fx.change_topic(fx.line_products(spark, sf_dir)).repartition(8).write.parquet(path)
     return path
 
 
@@ -113,26 +112,37 @@ def test_replay_in_portions(spark, tmp_path, sink):
     assert len([p for p in by_bytes.recentProgress if p["numInputRows"]]) == 3
 
 
-def test_paced_load_into_a_table(spark, sf_dir, tmp_path, monkeypatch):
-    """Portions arrive one by one; the table's own calls are recorded, not made."""
-    source = str(tmp_path / "source")
-    rows = fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS)
+def test_paced_load_into_a_table(spark, sf_dir, tmp_path, database, monkeypatch):
+    """Portions arrive one by one; one whose table write fails is loaded again, once."""
+    source, rejects, name = str(tmp_path / "source"), str(tmp_path / "rejects"), f"{database}.products"
+    rows = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
     rows.repartition(2).write.parquet(source)
-    loaded = []
-
-    def record(df, table, **options):
-        loaded.append((df.count(), df.columns, options))
-        return loaded[-1][0]
-
-    monkeypatch.setattr(jdbc, "append_rows", record)
-    arriving = replay(spark, source, rows.schema, "parquet", files_per_batch=1)
-    query = jobs.start_paced_load(
-        arriving, jdbc.JdbcTable("jdbc:none", "products"), str(tmp_path / "c"), "1 second", connections=4
-    )
-    query.processAllAvailable()
-    query.stop()
-    assert [n for n, _, _ in loaded] == [100, 100]
-    assert loaded[0][1:] == (list(PRODUCT_COLUMNS), {"connections": 4})
+    catalog.recreate_table(spark, name, location=str(tmp_path / "table"), by_load=True)
+    once, seen = catalog.replace_load, []
+
+    def failing(df, table, load_id):
+        once(df, table, load_id)
+        seen.append(load_id)
+        if len(seen) == 1:
+            raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(catalog, "replace_load", failing)
+    for _ in range(2):
+        arriving = replay(spark, source, rows.schema, "parquet", files_per_batch=1)
+        query = jobs.start_paced_load(
+            arriving, lambda part, id: jobs.load_catalog_table(part, name, rejects, id), str(tmp_path / "c"))
+        try:
+            query.awaitTermination()
+        except Exception as error:
+            assert "lost after the write" in str(error)
+    assert seen == ["0000000000", "0000000000", "0000000001"]
+    whole = jobs.checked_products(rows)
+    loaded = spark.table(name).drop(catalog.LOAD)
+    assert loaded.exceptAll(whole.accepted).count() == 0 and loaded.count() == whole.accepted.count()
+    kept = spark.read.parquet(rejects)
+    assert kept.count() + loaded.count() == rows.count()
+    counts = jobs.reject_counts(spark, rejects)
+    assert counts.agg(F.sum("row_count")).first()[0] == kept.count()
 
 
 def test_paced_query_keeps_running(spark, captured, tmp_path):
