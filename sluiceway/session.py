@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import pyspark
 from pyspark.sql import SparkSession
@@ -18,8 +19,15 @@ BASE_SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Hot brands and keys are split by adaptive execution, which therefore is required.
+    # Its target for a task decides how large the files of a gathered write become.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
+# Class names of the object store's connector.
+S3A_FILE_SYSTEM = "org.apache.hadoop.fs.s3a.S3AFileSystem"
+S3A_KEY_PROVIDER = "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider"
+
 # Class names that Delta registers with a session.
 DELTA_SETTINGS = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
@@ -40,7 +48,7 @@ class ObjectStore:
     def settings(self) -> dict[str, str]:
         prefix = "spark.hadoop.fs.s3a"
         found = {
-            f"{prefix}.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+            f"{prefix}.impl": S3A_FILE_SYSTEM,
             f"{prefix}.endpoint": self.endpoint,
             f"{prefix}.path.style.access": str(self.path_style).lower(),
             f"{prefix}.connection.ssl.enabled": str(self.tls).lower(),
@@ -49,8 +57,7 @@ class ObjectStore:
             found |= {
                 f"{prefix}.access.key": self.access_key,
                 f"{prefix}.secret.key": self.secret_key,
-                f"{prefix}.aws.credentials.provider":
-                    "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider",
+                f"{prefix}.aws.credentials.provider": S3A_KEY_PROVIDER,
             }
         return found
 
@@ -60,6 +67,26 @@ def kafka_package(scala: str = "2.13") -> str:
     return f"org.apache.spark:spark-sql-kafka-0-10_{scala}:{pyspark.__version__}"
 
 
+def delta_package(version: str, scala: str = "2.13") -> str:
+    """Coordinate of the Delta format; its versions are tied to Spark's by its release notes."""
+    return f"io.delta:delta-spark_{scala}:{version}"
+
+
+def s3a_package(hadoop: str) -> str:
+    """Coordinate of the object-store connector for this Spark's Hadoop version, which
+    ``hadoop_version`` tells."""
+    return f"org.apache.hadoop:hadoop-aws:{hadoop}"
+
+
+def hadoop_version() -> str:
+    """The Hadoop version that comes with this Spark."""
+    jars = Path(pyspark.__file__).parent / "jars"
+    found = sorted(jars.glob("hadoop-client-api-*.jar"))
+    if not found:
+        raise RuntimeError(f"no Hadoop client in {jars}; give the version that the cluster runs")
+    return found[0].stem.removeprefix("hadoop-client-api-")
+
+
 def session_settings(
     *,
     delta: bool = False,

@@ -1,4 +1,5 @@
 from checks.scratch import fresh_folder
+from sluiceway import session
 from sluiceway.session import ObjectStore, kafka_package, session_settings
 
 
@@ -33,3 +34,9 @@ def test_scratch_uses_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, other = fresh_folder(spark), fresh_folder(spark)
     assert one.startswith(shared) and other.startswith(shared) and one != other
+
+
+def test_package_coordinates():
+    assert session.s3a_package(session.hadoop_version()).startswith("org.apache.hadoop:hadoop-aws:3.")
+    assert session.delta_package("9.9") == "io.delta:delta-spark_2.13:9.9"
+    assert session.kafka_package().startswith("org.apache.spark:spark-sql-kafka-0-10_2.13:")
