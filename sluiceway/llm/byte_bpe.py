@@ -40,7 +40,7 @@ BUCKETS = 16384
 BLOCK_CHARS = 2_000_000
 
 # Fixed value: characters with the Unicode property White_Space, as a Java character class.
-SPACES = r"\x09-\x0D\x20\x85\xA0  -     　"
+SPACES = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,9 +51,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def java_pattern(pattern: str) -> str:
     r"""``pattern`` with ``\s`` and ``\S`` spelled out, as Java's know ASCII only."""
-    for inside in ("[^\\s\\p{L}\\p{N}]",):
-        pattern = pattern.replace(inside, f"[^{SPACES}\\p{{L}}\\p{{N}}]")
-    return pattern.replace("\\s", f"[{SPACES}]").replace("\\S", f"[^{SPACES}]")
+    inside = pattern.replace("[^\\s", f"[^{SPACES}")
+    return inside.replace("\\s", f"[{SPACES}]").replace("\\S", f"[^{SPACES}]")
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:

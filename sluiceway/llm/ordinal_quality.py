@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -125,7 +125,6 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray  # ascending, one fewer than grades
     constant: int | None = None
-    seen: list[int] = field(default_factory=list)
 
     def sums(self, coded: Coded) -> np.ndarray:
         """The weighted sum of each text."""
@@ -170,7 +169,7 @@ def fit(texts: Sequence[str], grades: Sequence[int], recipe: Recipe = Recipe())
     share = SCALE * counts / coded.sizes[owner]
     flat = np.concatenate((np.zeros(1), np.zeros(cuts - 1), np.zeros(1 << recipe.bits)))
     first, second = np.zeros_like(flat), np.zeros_like(flat)
-    model = Model(recipe, flat[cuts:], np.zeros(cuts), None, sorted(set(marks.tolist())))
+    model = Model(recipe, flat[cuts:], np.zeros(cuts))
     for step in range(1, recipe.steps + 1):
         model.thresholds = flat[0] + np.concatenate(([0.0], np.cumsum(np.exp(flat[1:cuts]))))
         each = model.weights[coded.by_word].sum(axis=1)

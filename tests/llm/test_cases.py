@@ -238,7 +238,7 @@ def test_mix_takes_near_its_targets(spark, odd, none):
 # -- tokens ---------------------------------------------------------------------
 
 ODD_TEXTS = [row[1] or "" for row in rows() if row[1] != LONG] + [
-    "aaaaaaaaaaa" * 50, "<|endoftext|>a<|endoftext|><|endoftext|>  ", "​ ab 　 c", "ﬀ ǅ ʰ ⅷ", "abcabcab" * 9,
+    "aaaaaaaaaaa" * 50, "a" + "".join(map(chr, [0x1680, 0x2000, 0x200A, 0x2028, 0x202F, 0x205F, 0x3000, 0x200B, 0x1F])) + "b", "<|endoftext|>a<|endoftext|><|endoftext|>  ", "​ ab 　 c", "ﬀ ǅ ʰ ⅷ", "abcabcab" * 9,
     "x" * 3000]
 
 
