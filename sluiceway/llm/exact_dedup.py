@@ -100,6 +100,12 @@ def deduplicate(
     last join is shuffled on both sides so that adaptive execution can split a digest
     that a third of all rows share.
     """
+    return _decisions(docs, index, doc_id=doc_id, text=text).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def _decisions(docs: DataFrame, index: DigestIndex, *, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``deduplicate`` with their ``digest`` and ``n_chars``."""
     rows = written(digests(docs, doc_id=doc_id, text=text), "digests")
     found = written(groups(rows), "digest-groups")
     index.append(found)
@@ -109,7 +115,7 @@ def deduplicate(
     return joined.select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+        "digest", "n_chars",
     )
 
 
@@ -126,14 +132,16 @@ def keep_first(
     """The documents that stay, each row once, with the columns of ``docs``.
 
     Documents go to the decisions by id. Rows that share an id are told apart by their
-    digest, and rows that agree in id, digest and length are one document that is kept once.
+    digest and length, and rows that agree in all three are one document that is kept once.
     """
     mark, size = free_name(docs.columns, "_digest"), free_name(docs.columns, "_size")
+    kept_mark, kept_size, kept_id = (free_name(docs.columns, f"_kept_{name}") for name in ("digest", "size", "id"))
     whole = text_of(text)
     marked = docs.withColumn(mark, F.sha2(normalised(whole).cast("binary"), 256)).withColumn(size, F.length(whole))
-    decisions = deduplicate(docs, index, doc_id=doc_id, text=text)
+    decisions = _decisions(docs, index, doc_id=doc_id, text=text)
     stay = decisions.where("kept").select(
-        F.col("text_sha256").alias("_kept_digest"), F.col("doc_id").alias("_kept_id")).distinct()
-    same = (F.col(mark) == F.col("_kept_digest")) & F.col(doc_id).eqNullSafe(F.col("_kept_id"))
+        F.col("digest").alias(kept_mark), F.col("n_chars").alias(kept_size), F.col("doc_id").alias(kept_id)).distinct()
+    same = ((F.col(mark) == F.col(kept_mark)) & (F.col(size) == F.col(kept_size))
+            & F.col(doc_id).eqNullSafe(F.col(kept_id)))
     joined = marked.join(stay, same, "left_semi")
     return joined.dropDuplicates([mark, doc_id]).select(*docs.columns)

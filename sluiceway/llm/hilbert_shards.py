@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import with_rank, written
+from sluiceway.llm.shared import free_name, with_rank, written
 
 
 def hashed_level(value: Column, bits: int) -> Column:
@@ -133,9 +133,12 @@ def write_shards(docs: DataFrame, path: str, dimensions: Mapping[str, Column], *
     """Write documents as one folder per shard, in curve order within files.
 
     Documents meet their shard by id, so ids must be unique here. A shard is cut into
-    several files where adaptive execution finds it too large for one task.
+    several files where adaptive execution finds it too large for one task. The columns
+    ``shard`` and ``slot`` get underscores where documents have columns of these names.
     """
-    placed = assign(docs, dimensions, shards=shards, bits=bits, doc_id=doc_id, text=text)
-    joined = docs.join(placed.select(F.col("doc_id").alias(doc_id), "shard", "slot"), doc_id)
-    (joined.hint("rebalance", F.col("shard")).sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    shard, slot, own_id = (free_name(docs.columns, name) for name in ("shard", "slot", "_placed_id"))
+    placed = assign(docs, dimensions, shards=shards, bits=bits, doc_id=doc_id, text=text).select(
+        F.col("doc_id").alias(own_id), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    joined = docs.join(placed, F.col(doc_id).eqNullSafe(F.col(own_id))).drop(own_id)
+    (joined.hint("rebalance", F.col(shard)).sortWithinPartitions(shard, slot)
+     .write.partitionBy(shard).parquet(path))

@@ -312,9 +312,9 @@ def similarity_classes(
 
 def keep_one(docs: DataFrame, *, how: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The first document of every class, and all without n-grams; the columns of ``docs``."""
+    mark, stay_hash, stay_id = (free_name(docs.columns, name) for name in ("_text_hash", "_stay_hash", "_stay_id"))
     stay = similarity_classes(docs, how=how, doc_id=doc_id, text=text).where("stays").select(
-        F.col("doc_id").alias("_stay_id"), F.col("text_hash").alias("_stay_hash")).distinct()
-    mark = free_name(docs.columns, "_text_hash")
+        F.col("doc_id").alias(stay_id), F.col("text_hash").alias(stay_hash)).distinct()
     marked = docs.withColumn(mark, F.xxhash64(text_of(text)))
-    same = (F.col(mark) == F.col("_stay_hash")) & F.col(doc_id).eqNullSafe(F.col("_stay_id"))
+    same = (F.col(mark) == F.col(stay_hash)) & F.col(doc_id).eqNullSafe(F.col(stay_id))
     return marked.join(stay, same, "left_semi").dropDuplicates([doc_id, mark]).select(*docs.columns)

@@ -112,21 +112,23 @@ def mixed(
     out one by one.
     """
     names = docs.columns
-    key, size = free_name(names, "_source_key"), free_name(names, "_size")
+    key, size, copies, equal, extra, copy = (
+        free_name(names, name) for name in ("_source_key", "_size", "_copies", "_rows", "_extra", "_copy"))
     chosen = take(docs, mix=mix, doc_id=doc_id, text=text, source=source)
     chosen = chosen.groupBy("doc_id", "source_key", "size").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+        F.sum("copies").alias(copies), F.count("*").alias(equal))
     keyed = docs.withColumn(key, source_key(source)).withColumn(
         size, F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long"))
     same = (keyed[doc_id].eqNullSafe(chosen["doc_id"]) & (F.col(key) == chosen["source_key"])
             & (F.col(size) == chosen["size"]))
-    chosen = chosen.where("_copies > 0")
-    joined = keyed.join(chosen, same).select(*[keyed[name] for name in names], "_copies", "_rows")
-    # _copies of _rows equal rows: each gets the whole part, the remainder goes to the first rows.
-    whole = F.expr("cast(_copies div _rows as int)")
-    alone = joined.where("_copies % _rows = 0")
-    rest = joined.where("_copies % _rows != 0")
-    part = Window.partitionBy(doc_id, source, "_copies", "_rows").orderBy(F.xxhash64(text))
-    rest = rest.withColumn("_extra", (F.row_number().over(part) <= F.expr("_copies % _rows")).cast("int"))
-    both = alone.withColumn("_extra", F.lit(0)).unionByName(rest)
-    return both.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), whole + F.col("_extra")))).select(*names)
+    chosen = chosen.where(F.col(copies) > 0)
+    joined = keyed.join(chosen, same).select(*[keyed[name] for name in [*names, key, size]], copies, equal)
+    # Equal rows get the whole part of their copies each, the first of them one of the remainder.
+    remainder = F.col(copies) % F.col(equal)
+    whole = ((F.col(copies) - remainder) / F.col(equal)).cast("int")
+    alone = joined.where(remainder == 0)
+    rest = joined.where(remainder != 0)
+    part = Window.partitionBy(doc_id, key, size).orderBy(F.xxhash64(text))
+    rest = rest.withColumn(extra, (F.row_number().over(part) <= remainder).cast("int"))
+    both = alone.withColumn(extra, F.lit(0)).unionByName(rest)
+    return both.withColumn(copy, F.explode(F.array_repeat(F.lit(1), whole + F.col(extra)))).select(*names)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -156,6 +157,12 @@ def test_exact_keeps_columns(spark, odd, none):
     assert exact_dedup.keep_first(none, exact_dedup.fresh_index(spark, 4)).count() == 0
 
 
+def test_longest_of_equal_ids_stays(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "a  b", "y"), (2, "ab", "z")], "doc_id long, text string, _kept_id string")
+    kept = exact_dedup.keep_first(docs, exact_dedup.fresh_index(spark, 4))
+    assert [tuple(r) for r in kept.collect()] == [(1, "a  b", "y")]
+
+
 # -- shards ---------------------------------------------------------------------
 
 
@@ -189,8 +196,15 @@ def test_shard_files_hold_every_document(spark, tmp_path):
     docs = spark.createDataFrame([(i, "t" * (i % 50), "en", f"s{i % 3}", 1) for i in range(200)], SCHEMA)
     hilbert_shards.write_shards(docs, str(tmp_path / "out"), hilbert_shards.metadata_dimensions(), shards=5)
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()} == dict.fromkeys(range(5), 40) or {
-        int(r["shard"]): r["count"] for r in back.groupBy("shard").count().collect()} == dict.fromkeys(range(5), 40)
+    assert {int(r["shard"]): r["count"] for r in back.groupBy("shard").count().collect()} == dict.fromkeys(range(5), 40)
+
+
+def test_shard_files_of_documents_with_shard_columns(spark, tmp_path):
+    docs = spark.createDataFrame([(i or None, "t" * i, "en", "s", i, "mine") for i in range(20)], SCHEMA + ", shard string")
+    hilbert_shards.write_shards(docs, str(tmp_path / "out"), hilbert_shards.metadata_dimensions(), shards=2)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {int(r["shard_"]): r["count"] for r in back.groupBy("shard_").count().collect()} == {0: 10, 1: 10}
+    assert back.where("shard = 'mine'").count() == 20 and back.where("doc_id IS NULL").count() == 1
 
 
 # -- mix ------------------------------------------------------------------------
@@ -235,6 +249,17 @@ def test_mix_takes_near_its_targets(spark, odd, none):
     assert source_mix.take(none).count() == 0 and source_mix.mixed(none).count() == 0
 
 
+def test_copies_of_repeated_ids_are_all_dealt_out(spark):
+    docs = spark.createDataFrame(
+        [(7, "w " * (1 + i % 3), "en", "s", i, "own", "own") for i in range(13)] + [(8, "w " * 9, "en", "t", 1, "own", "own")],
+        SCHEMA + ", _copies string, _rows string")
+    taken = {r["size"]: r["copies"] for r in source_mix.take(docs).groupBy("size").agg(F.sum("copies").alias("copies")).collect()}
+    found = source_mix.mixed(docs)
+    assert found.columns == docs.columns
+    counts = {r["size"]: r["count"] for r in found.groupBy(F.size(F.split(F.trim("text"), " ")).alias("size")).count().collect()}
+    assert counts == {size: copies for size, copies in taken.items() if copies}
+
+
 # -- tokens ---------------------------------------------------------------------
 
 ODD_TEXTS = [row[1] or "" for row in rows() if row[1] != LONG] + [
@@ -356,6 +381,11 @@ def test_similarity_odd_rows(odd, none):
     assert ngram_join.similarity_classes(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+def test_near_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, PROSE, "x", i) for i in range(3)], "doc_id long, text string, _stay_id string, _stay_hash int")
+    assert [tuple(r) for r in ngram_join.keep_one(docs).collect()] == [(0, PROSE, "x", 0)]
+
+
 # -- models ---------------------------------------------------------------------
 
 
@@ -487,3 +517,72 @@ def test_stages_keep_columns_and_take_empty_tables(spark, odd, none):
         assert stage(spark, odd, "").columns == odd.columns, name
         assert stage(spark, none, "").count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, none, "").count() == 0
+
+
+def pipeline_rows():
+    """Clean documents, copies that differ in blanks, near copies, bad lines, short and repetitive ones."""
+    random = np.random.default_rng(11)
+    made = [" ".join(f"w{i}" for i in random.integers(0, 4000, random.integers(60, 160))) for _ in range(60)]
+    texts = list(made)
+    texts += [text.replace(" ", "  ", 1) for text in made[:15]] + [text for text in made[:5]]
+    texts += [text.replace(text.split()[30], "changed", 1) for text in made[10:30]]
+    texts += [text + "\nHome | News | About | Contact\nAll rights reserved." for text in made[25:40]]
+    texts += [" ".join(made[40].split()[:50]) + "\n" + "click here " * 60, "too short", None, "", "again and again " * 40]
+    sources = ["a", "b", "b", "b", "c", None]
+    return [(i, text, "en", sources[i % len(sources)], len(text or "")) for i, text in enumerate(texts)]
+
+
+def plain_clean(text):
+    """The text without failing lines, or None if it is rejected."""
+    rules = line_quality.LineRules()
+    own, every, _, _, repeats = plain_base(text)
+    left, lost = [], 0
+    for line in (text or "").split("\n"):
+        inside = line.split()
+        bad = inside and (
+            sum(c in "#*$%&|<>" for c in line) / len(line) > rules.symbol_share / 100
+            or line.count("!") / len(inside) >= rules.shout_share / 100
+            or sum(c in "|»" for c in line) >= rules.bars
+            or any(phrase in line.lower() for phrase in rules.phrases))
+        if bad:
+            lost += sum(map(len, inside))
+        else:
+            left.append(line)
+    if own < 50 or repeats / own > 0.5 or lost / every > 0.5:
+        return None
+    return "\n".join(left)
+
+
+def plain_pipeline(docs, library):
+    """All five stages, the long way: id, source and token ids of every row."""
+    clean = [(i, plain_clean(text), source) for i, text, _, source, _ in docs]
+    clean = [row for row in clean if row[1] is not None]
+    first = {}
+    for row in sorted(clean, key=lambda row: (-len(row[1]), row[0])):
+        first.setdefault("".join(row[1].split()), row)
+    distinct = sorted(first.values())
+    roots_ = roots(plain_links([text for _, text, _ in distinct]))
+    kept = [row for at, row in enumerate(distinct) if roots_[at] == at]
+    by_source = {}
+    for i, text, source in kept:
+        by_source.setdefault("1" if source is None else f"0{source}", []).append((len(text.split()), i, text, source))
+    mix = source_mix.Mix()
+    target = plain_targets({key: sum(row[0] for row in own) for key, own in by_source.items()}, mix)
+    out = []
+    for key, own in by_source.items():
+        each = target[key] / sum(row[0] for row in own)
+        for rank, (_, i, text, source) in enumerate(sorted(own, key=lambda row: row[:2])):
+            copies = math.floor((rank + 1) * each + mix.offset) - math.floor(rank * each + mix.offset)
+            out += [(i, source, tuple(library.encode_ordinary(text)))] * copies
+    return sorted(out, key=str), len(clean), len(distinct), len(kept)
+
+
+def test_pipeline_equals_brute_force(spark, ranks, tmp_path):
+    docs = pipeline_rows()
+    spark.createDataFrame(docs, SCHEMA).repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    expected, clean, distinct, kept = plain_pipeline(docs, library)
+    assert len(docs) > clean > distinct > kept > 0  # every stage has something to remove
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.source, tuple(r.ids)) for r in found), key=str) == expected
+    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in found)
