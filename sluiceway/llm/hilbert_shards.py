@@ -132,13 +132,17 @@ def write_shards(docs: DataFrame, path: str, dimensions: Mapping[str, Column], *
                  doc_id: str = "doc_id", text: str = "text") -> None:
     """Write documents as one folder per shard, in curve order within files.
 
-    Documents meet their shard by id, so ids must be unique here. A shard is cut into
-    several files where adaptive execution finds it too large for one task. The columns
-    ``shard`` and ``slot`` get underscores where documents have columns of these names.
+    Rows are numbered and written first, so that each meets its own shard, whatever ids
+    are null or repeated. A shard is cut into several files where adaptive execution finds
+    it too large for one task. The columns ``shard`` and ``slot`` get underscores where
+    documents have columns of these names.
     """
-    shard, slot, own_id = (free_name(docs.columns, name) for name in ("shard", "slot", "_placed_id"))
-    placed = assign(docs, dimensions, shards=shards, bits=bits, doc_id=doc_id, text=text).select(
-        F.col("doc_id").alias(own_id), F.col("shard").alias(shard), F.col("slot").alias(slot))
-    joined = docs.join(placed, F.col(doc_id).eqNullSafe(F.col(own_id))).drop(own_id)
+    shard, slot, row, key, own_row = (free_name(docs.columns, name) for name in ("shard", "slot", "_row", "_key", "_own_row"))
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    in_order = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
+    placed = assign(
+        numbered.withColumn(key, in_order), dimensions, shards=shards, bits=bits, doc_id=key, text=text,
+    ).select(F.col("doc_id.row").alias(own_row), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    joined = numbered.join(placed, F.col(row) == F.col(own_row)).drop(row, own_row)
     (joined.hint("rebalance", F.col(shard)).sortWithinPartitions(shard, slot)
      .write.partitionBy(shard).parquet(path))

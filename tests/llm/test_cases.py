@@ -200,7 +200,8 @@ def test_shard_files_hold_every_document(spark, tmp_path):
 
 
 def test_shard_files_of_documents_with_shard_columns(spark, tmp_path):
-    docs = spark.createDataFrame([(i or None, "t" * i, "en", "s", i, "mine") for i in range(20)], SCHEMA + ", shard string")
+    docs = spark.createDataFrame([(i or None, "t" * i, "en", "s", i, "mine") for i in range(17)] + [(5, "tt", "en", "s", 2, "mine")] * 3,
+                                 SCHEMA + ", shard string")
     hilbert_shards.write_shards(docs, str(tmp_path / "out"), hilbert_shards.metadata_dimensions(), shards=2)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert {int(r["shard_"]): r["count"] for r in back.groupBy("shard_").count().collect()} == {0: 10, 1: 10}
