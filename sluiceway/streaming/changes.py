@@ -66,8 +66,8 @@ def append_changes(topic: DataFrame, sink: Sink, signed: bool = True) -> Streami
 def append_rejects(topic: DataFrame, sink: Sink) -> StreamingQuery | None:
     """Messages without a row image to their own sink, partitioned by kind.
 
-    A query of its own: it reads the topic again, but parses only the outline of each
-    message, commits on its own, and cannot hold up or half-complete the table's.
+    A query of its own: it reads and parses the topic again, but commits on its own and
+    cannot hold up or half-complete the table's.
     """
     return _append(rejects(topic), sink, "kind")
 
