@@ -87,6 +87,18 @@ BROKEN_LINE = (
     "',1.5,1,s,2,c,3,4.5', CASE WHEN o_orderkey % 7 = 4 THEN ',surplus' ELSE '' END) END"
 )
 
+# Lines of a raw product file, broken like those and by a quoted line break.
+BROKEN_RAW_HEAD = "concat('0,', cast(o_orderkey AS string), ',')"
+BROKEN_RAW_REST = (
+    f"concat(',20.00,', {BROKEN_PRICE}, ', f ,b,', {BROKEN_COUNT}, ',1.5,1,s,2,c,3,-,-,-,-,-', "
+    "CASE WHEN o_orderkey % 7 = 4 THEN ',surplus' ELSE '' END)"
+)
+BROKEN_RAW_LINE = (
+    f"CASE o_orderkey % 7 WHEN 5 THEN concat({BROKEN_RAW_HEAD}, 'n') "
+    f"WHEN 6 THEN concat({BROKEN_RAW_HEAD}, '\"n', chr(10), 'n\"', {BROKEN_RAW_REST}) "
+    f"ELSE concat({BROKEN_RAW_HEAD}, 'n', {BROKEN_RAW_REST}) END"
+)
+
 # Change messages: a price that is no base64, one beyond its type, a count beyond its type,
 # an empty price, and a sound one.
 BROKEN_CHANGE = (

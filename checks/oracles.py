@@ -179,6 +179,18 @@ ORACLES: dict[str, str] = {
     "product_file_load": (
         f"SELECT {_typed().replace('fulfillment_type', 'trim(fulfillment_type) AS fulfillment_type')} FROM {PARTS}"
     ),
+    "product_file_broken": (
+        f"WITH lines AS (SELECT o_orderkey % 7 AS kind, cast(o_orderkey AS varchar) AS id, {fx.BROKEN_PRICE} AS price, "
+        f"{fx.BROKEN_COUNT} AS review_count, {fx.BROKEN_RAW_LINE} AS line FROM orders) "
+        "SELECT id, price, review_count, CASE WHEN kind <> 1 THEN '37.5' || CASE WHEN kind IN (2, 3) THEN '' ELSE '0' END END "
+        "AS discount, cast(NULL AS varchar) AS line, CASE kind WHEN 0 THEN 'ok' WHEN 1 THEN 'price decimal(10,2)' "
+        "ELSE 'review_count int' END AS reason FROM lines WHERE kind < 4 "
+        "UNION ALL SELECT id, price, review_count, '37.5', line, 'corrupt record' FROM lines WHERE kind = 4 "
+        "UNION ALL SELECT id, NULL, NULL, NULL, line, 'corrupt record' FROM lines WHERE kind = 5 "
+        "UNION ALL SELECT id, NULL, NULL, NULL, string_split(line, chr(10))[1], 'corrupt record' FROM lines WHERE kind = 6 "
+        "UNION ALL SELECT '20.00', 'b', '1', NULL, string_split(line, chr(10))[2], 'corrupt record' "
+        "FROM lines WHERE kind = 6"
+    ),
     "cdc_value_cast": "SELECT doc_id, text FROM documents",
     "cdc_table_filter": (
         "SELECT cast(seq AS varchar) AS key, 'sales.public.products' AS topic, "

@@ -250,6 +250,24 @@ def product_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query
+def product_file_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw file with broken rows, cleaned and loaded: every line and where it went."""
+    raw, cleaned, unread, rejects = (fresh_folder(spark) for _ in range(4))
+    fx.derived(fx.table(spark, sf_dir, "orders"), {"value": fx.BROKEN_RAW_LINE}).write.text(raw)
+    jobs.clean_product_file(spark, raw, cleaned, RAW_ROW, rejects_path=unread, header=False)
+    name = f"{_database(spark)}.products"
+    catalog.recreate_table(spark, name, location=fresh_folder(spark))
+    jobs.load_catalog_table(jobs.read_products(spark, cleaned, DOUBLE_ROW), name, rejects)
+    cells = [F.col(column).cast("string") for column in ("id", "price", "review_count", "discount")]
+    loaded = spark.table(name).select(*cells, F.lit(None).cast("string").alias("line"), F.lit("ok").alias("reason"))
+    refused = [
+        spark.read.parquet(path).select(*cells, F.col(constraints.CORRUPT).alias("line"), constraints.REASON)
+        for path in (unread, rejects)
+    ]
+    return loaded.union(refused[0]).union(refused[1])
+
+
 # -- change messages -------------------------------------------------------------
 
 

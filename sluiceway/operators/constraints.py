@@ -29,6 +29,7 @@ from sluiceway.schemas import TABLE
 REASON = "reject_reason"
 OK = "ok"
 CORRUPT = "_corrupt_record"  # text of a file row that could not be taken apart
+CORRUPT_REASON = "corrupt record"
 _STORED = "_stored"
 _WHOLE_NUMBER = "^ *[+-]?[0-9]{1,37} *$"
 
@@ -77,7 +78,7 @@ def check_constraints(df: DataFrame, table: StructType = TABLE) -> DataFrame:
     )
     reasons = ", ".join(_reason(column) for column in table)
     if CORRUPT in df.columns:
-        reasons = f"CASE WHEN `{CORRUPT}` IS NOT NULL THEN 'corrupt record' END, {reasons}"
+        reasons = f"CASE WHEN `{CORRUPT}` IS NOT NULL THEN '{CORRUPT_REASON}' END, {reasons}"
     return df.selectExpr("*", f"struct({stored}) AS {_STORED}").selectExpr(
         "*", f"coalesce(nullif(concat_ws('; ', {reasons}), ''), '{OK}') AS {REASON}"
     )

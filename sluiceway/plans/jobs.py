@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from sluiceway.operators.constraints import CORRUPT, accepted, check_constraints, rejected
+from sluiceway.operators.constraints import CORRUPT, CORRUPT_REASON, REASON, accepted, check_constraints, rejected
 from sluiceway.operators.products import bind_by_position, clean_products
 from sluiceway.plans import catalog
 from sluiceway.schemas import PRODUCT_COLUMNS
 from sluiceway.sources import jdbc
-from sluiceway.sources.csv import read_csv, read_csv_head, read_csv_text, write_csv
+from sluiceway.sources.csv import read_csv_head, read_csv_text, write_csv
 from sluiceway.streaming.changes import Sink, append_changes, append_rejects
 
 
@@ -29,15 +29,25 @@ def clean_product_file(
     spark: SparkSession,
     source: str,
     target: str,
-    schema: StructType | str | None = None,
+    schema: StructType | None = None,
     files: int | None = None,
+    rejects_path: str | None = None,
     **options,
 ) -> None:
     """Clean a raw product file and write the table-shaped result as CSV.
 
+    Cells are read and written as text, so that what is no number is still there for the
+    load to reject. Rows with too few or too many cells go, with their line, to Parquet at
+    ``rejects_path``, by default ``target`` with ``_rejects`` behind its name; a repeated
+    run replaces both. ``schema`` names the columns, by default the header does.
     ``options`` say how the source is read.
     """
-    write_csv(clean_products(read_csv(spark, source, schema, **options)), target, files=files)
+    columns = None if schema is None else schema.names
+    cleaned = clean_products(read_csv_text(spark, source, columns, **options))
+    names = [name for name in cleaned.columns if name != CORRUPT]
+    broken = cleaned.where(F.col(CORRUPT).isNotNull()).select(*names, CORRUPT, F.lit(CORRUPT_REASON).alias(REASON))
+    broken.write.mode("overwrite").parquet(rejects_path or f"{target.rstrip('/')}_rejects")
+    write_csv(cleaned.where(F.col(CORRUPT).isNull()).select(*names), target, files=files)
 
 
 @dataclass(frozen=True)

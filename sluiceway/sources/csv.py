@@ -36,13 +36,21 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str], **options) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None, **options) -> DataFrame:
     """Rows as text, and in ``_corrupt_record`` the line of a row with too few or too
-    many cells. No cell is lost: typing them is left to the constraint check."""
+    many cells. No cell is lost: typing them is left to the constraint check. Without
+    ``columns`` the header names them, an empty name as Spark's own reader does."""
+    names = columns
+    if columns is None:
+        plain = spark.read.options(**{**DIALECT, **options})
+        names = columns = plain.csv(path).columns
+        if str(options.get("header", True)).lower() == "true":  # the check compares with empty names as they are
+            columns = [cell or "" for cell in plain.option("header", False).csv(path).head() or ()]
     schema = StructType([StructField(name, StringType()) for name in [*columns, CORRUPT]])
     # Whether a row has all its cells shows only if all of them are read.
     marks = {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
-    return spark.read.options(**{**DIALECT, **CHECK_HEADER, **marks, **options}).schema(schema).csv(path)
+    reader = spark.read.options(**{**DIALECT, **CHECK_HEADER, **marks, **options})
+    return reader.schema(schema).csv(path).toDF(*names, CORRUPT)
 
 
 def file_place() -> list[Column]:

@@ -97,3 +97,29 @@ def test_line_breaks_in_a_field(spark, raw, tmp_path):
     back = jobs.read_products(spark, str(tmp_path / "out"), DOUBLE_ROW, multiLine=True)
     assert {r.name for r in back.collect()} == {"two\nlines, \"quoted\""}
     assert back.count() == 3
+
+
+def test_broken_raw_rows_are_kept_apart_and_cells_stay(spark, tmp_path):
+    good = '0,a1,n,20.00,12.50, f ,b,5,1.5,1,s,2,c,3,-,-,-,-,-'
+    cells = [good, good.replace("12.50", "abc"), good.replace(",5,", ",n/a,", 1), good.replace(",5,", ",3000000000,", 1)]
+    broken = ["0,a2,n", good + ",surplus", '0,a3,"n', 'n"' + good[6:]]
+    path = tmp_path / "raw.csv"
+    path.write_text("\n".join([",".join(RAW_ROW.names), *cells, *broken]) + "\n")
+    out = str(tmp_path / "out")
+    jobs.clean_product_file(spark, str(path), out, RAW_ROW)
+    checked = jobs.checked_products(jobs.read_products(spark, out, DOUBLE_ROW))
+    assert [(r.id, float(r.price), float(r.discount)) for r in checked.accepted.collect()] == [("a1", 12.5, 37.5)]
+    assert sorted((r.price, r.review_count) for r in checked.rejected.collect()) == [
+        ("12.50", "3000000000"), ("12.50", "n/a"), ("abc", "5")]
+    kept = spark.read.parquet(f"{out}_rejects")
+    assert sorted(r._corrupt_record for r in kept.collect()) == sorted(broken)
+    assert [(r.reject_reason, r.row_count) for r in jobs.reject_counts(spark, f"{out}_rejects").collect()] == [
+        ("corrupt record", 4)]
+    jobs.clean_product_file(spark, str(path), str(tmp_path / "named"))  # columns by the header
+    assert sorted(spark.read.text(str(tmp_path / "named")).collect()) == sorted(spark.read.text(out).collect())
+
+
+def test_unnamed_index_column_without_schema(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text(",id,original_price,price,fulfillment_type\n0,a,20,15, f \n")
+    jobs.clean_product_file(spark, str(tmp_path / "raw.csv"), str(tmp_path / "out"))
+    assert read_csv(spark, str(tmp_path / "out")).columns == ["id", "original_price", "price", "fulfillment_type", "discount"]
