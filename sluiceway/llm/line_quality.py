@@ -1,6 +1,7 @@
 """Line-first cleaning: rules per line, then a verdict on what is left of the document.
 
-A line fails when it is mostly punctuation, a navigation bar, or boilerplate. Failing
+A line fails when it is mostly punctuation, a navigation bar, or boilerplate. A line may be
+a paragraph or a whole document, so each rule goes by the share of the line. Failing
 lines are removed. A document is rejected when removal takes more than a given share of
 its word characters, or when it fails the base rules on length and repetition.
 
@@ -39,8 +40,11 @@ class LineRules:
 
     symbol_share: int = 10  # of a line's characters
     shout_share: int = 50  # exclamation marks to words
-    bars: int = 3  # vertical bars or guillemets that make a line a navigation bar
+    bars: int = 3  # vertical bars or closing guillemets of a navigation bar, at least
+    bar_share: int = 15  # of those to a line's words
     phrases: tuple[str, ...] = BOILERPLATE
+    phrase_chars: int = 100  # a line of at most so many characters fails by one phrase
+    phrase_share: int = 20  # of a longer line's characters
     lost_share: int = 50  # of a document's word characters
     min_words: int = 50
     repeat_share: int = 50  # of words in repeated windows
@@ -79,13 +83,28 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def is_navigation(line: str, n_words: int, rules: LineRules) -> bool:
+    """Whether bars make up enough of a line. A guillemet that closes a quotation is none."""
+    bars = line.count("|") + max(0, line.count("»") - line.count("«"))
+    return bars >= rules.bars and 100 * bars >= rules.bar_share * n_words
+
+
+def is_boilerplate(line: str, rules: LineRules, phrase: re.Pattern[str]) -> bool:
+    """Whether a short line has a phrase, or phrases make up enough of a long one."""
+    lower = line.lower()
+    if len(line) <= rules.phrase_chars:
+        return phrase.search(lower) is not None
+    return 100 * sum(map(len, phrase.findall(lower))) >= rules.phrase_share * len(lower)
+
+
 def line_fails(line: str, rules: LineRules, phrase: re.Pattern[str]) -> bool:
     """Whether one line with a word breaks a rule."""
+    n_words = len(line.encode().split())
     return (
         100 * count_of(line, SYMBOLS) > rules.symbol_share * len(line)
-        or 100 * line.count("!") >= rules.shout_share * len(line.encode().split())
-        or line.count("|") + line.count("»") >= rules.bars
-        or phrase.search(line.lower()) is not None
+        or 100 * line.count("!") >= rules.shout_share * n_words
+        or is_navigation(line, n_words, rules)
+        or is_boilerplate(line, rules, phrase)
     )
 
 

@@ -101,6 +101,21 @@ def test_lines_go_and_documents_that_lose_too_much(spark):
     assert kept == {1: PROSE, 3: PROSE}
 
 
+def test_long_clean_lines_stay(spark):
+    quotes = " ".join(f"Elle a dit « mot{i} » puis encore quelque chose de bien plus long." for i in range(8))
+    talk = "« Oui », dit-il. « Non », dit-elle. « Bon », dit-on."
+    phrase = PROSE + " You may click here to read the terms of service. " + PROSE
+    bars = PROSE + " a | b | c | d "
+    docs = [(1, phrase), (2, quotes), (3, PROSE + "\n" + talk), (4, bars)]
+    found = line_quality.clean_lines(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "quality.*")
+    assert {r.doc_id: (r.n_failed_lines, r.clean_text) for r in found.collect()} == {i: (0, text) for i, text in docs}
+    rules = line_quality.LineRules()
+    pattern = line_quality.re.compile("|".join(rules.phrases))
+    menu = " » ".join(["Home", "Latest news", "Sport", "About our company", "Contact"])
+    for line in (menu, menu * 40, "Click here to read more.", "click here or sign in to " * 30):
+        assert line_quality.line_fails(line, rules, pattern)
+
+
 def test_line_quality_odd_rows(odd, none):
     found = line_quality.clean_lines(odd)
     assert found.count() == odd.count()
