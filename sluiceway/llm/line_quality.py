@@ -13,6 +13,8 @@ taken whole. Repeated rows get equal results; an empty table gives an empty resu
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,16 +35,51 @@ BOILERPLATE = (
     "log in to", "skip to content", "powered by wordpress",
 )
 
+# The like in the other languages of the corpus; the SQL has the English ones only.
+BOILERPLATE_ELSEWHERE = (
+    "sous licence", "tous droits réservés", "conditions d'utilisation", "conditions d’utilisation",
+    "politique de confidentialité", "accepter les cookies", "activer javascript", "cliquez ici",
+    "abonnez-vous à notre newsletter", "connectez-vous", "aller au contenu",
+    "lizenziert unter", "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung",
+    "cookies akzeptieren", "javascript aktivieren", "klicken sie hier", "hier klicken",
+    "newsletter abonnieren", "zum inhalt springen",
+    "bajo la licencia", "todos los derechos reservados", "términos de uso", "términos de servicio",
+    "condiciones de uso", "política de privacidad", "política de cookies", "aceptar cookies",
+    "habilitar javascript", "haga clic aquí", "haz clic aquí", "suscríbete a nuestro boletín",
+    "iniciar sesión en", "saltar al contenido",
+)
+
+# Words of these alone part the entries of a navigation bar.
+SEPARATORS = frozenset("/ • · ∙ ‣ ● ▪ ■ ▸ ► → ›".encode().split())
+
+
+def class_of(*kinds: str) -> str:
+    """A pattern for the characters whose Unicode category starts with one of ``kinds``."""
+    found, start = [], None
+    for code in range(sys.maxunicode + 2):
+        inside = code <= sys.maxunicode and unicodedata.category(chr(code)).startswith(kinds)
+        if inside and start is None:
+            start = code
+        elif not inside and start is not None:
+            found.append(f"\\U{start:08x}-\\U{code - 1:08x}")
+            start = None
+    return f"[{''.join(found)}]"
+
+
+#: Punctuation and symbols: neither letters, digits, marks on letters, nor blanks.
+PUNCTUATION = re.compile(class_of("P", "S"))
+
 
 @dataclass(frozen=True)
 class LineRules:
     """Limits of the line rules and of the verdict. Shares are in percent."""
 
     symbol_share: int = 10  # of a line's characters
+    punctuation_share: int = 50  # of a line's characters but blanks; more fails
     shout_share: int = 50  # exclamation marks to words
-    bars: int = 3  # vertical bars or closing guillemets of a navigation bar, at least
+    bars: int = 3  # vertical bars, closing guillemets or separators of a navigation bar, at least
     bar_share: int = 15  # of those to a line's words
-    phrases: tuple[str, ...] = BOILERPLATE
+    phrases: tuple[str, ...] = BOILERPLATE + BOILERPLATE_ELSEWHERE
     phrase_chars: int = 100  # a line of at most so many characters fails by one phrase
     phrase_share: int = 20  # of a longer line's characters
     lost_share: int = 50  # of a document's word characters
@@ -83,10 +120,13 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def is_navigation(line: str, n_words: int, rules: LineRules) -> bool:
-    """Whether bars make up enough of a line. A guillemet that closes a quotation is none."""
+def is_navigation(line: str, words: list[bytes], rules: LineRules) -> bool:
+    """Whether separators make up enough of a line. A guillemet that closes a quotation is none."""
     bars = line.count("|") + max(0, line.count("»") - line.count("«"))
-    return bars >= rules.bars and 100 * bars >= rules.bar_share * n_words
+    alone = sum(map(SEPARATORS.__contains__, words))
+    if alone and "‹" in line:
+        alone -= min(words.count("›".encode()), line.count("‹"))
+    return bars + alone >= rules.bars and 100 * (bars + alone) >= rules.bar_share * len(words)
 
 
 def is_boilerplate(line: str, rules: LineRules, phrase: re.Pattern[str]) -> bool:
@@ -99,11 +139,13 @@ def is_boilerplate(line: str, rules: LineRules, phrase: re.Pattern[str]) -> bool
 
 def line_fails(line: str, rules: LineRules, phrase: re.Pattern[str]) -> bool:
     """Whether one line with a word breaks a rule."""
-    n_words = len(line.encode().split())
+    words = line.encode().split()
+    filled = len(line) - count_of(line, BLANKS)
     return (
         100 * count_of(line, SYMBOLS) > rules.symbol_share * len(line)
-        or 100 * line.count("!") >= rules.shout_share * n_words
-        or is_navigation(line, n_words, rules)
+        or 100 * len(PUNCTUATION.findall(line)) > rules.punctuation_share * filled
+        or 100 * line.count("!") >= rules.shout_share * len(words)
+        or is_navigation(line, words, rules)
         or is_boilerplate(line, rules, phrase)
     )
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import unicodedata
 import zlib
 
 import numpy as np
@@ -116,6 +117,42 @@ def test_long_clean_lines_stay(spark):
         assert line_quality.line_fails(line, rules, pattern)
 
 
+def plain_fails(line):
+    """The line rules with shares, the long way."""
+    rules = line_quality.LineRules()
+    own, lower = line.encode().decode().split(), line.lower()
+    solid = [c for c in line if c not in " \t\n\x0b\x0c\r"]
+    marks = [c for c in solid if unicodedata.category(c)[0] in "PS"]
+    bars = line.count("|") + max(0, line.count("»") - line.count("«"))
+    bars += max(0, sum(word in "/•·∙‣●▪■▸►→›" for word in own) - min(own.count("›"), line.count("‹")))
+    matched, at = 0, 0
+    while at < len(lower):
+        size = next((len(phrase) for phrase in rules.phrases if lower.startswith(phrase, at)), 0)
+        matched += size
+        at += size or 1
+    return (
+        sum(c in "#*$%&|<>" for c in line) / len(line) > 0.1 or len(marks) / len(solid) > 0.5
+        or line.count("!") / len(own) >= 0.5 or bars >= 3 and bars / len(own) >= 0.15
+        or matched > 0 and (len(line) <= 100 or matched / len(lower) >= 0.2))
+
+
+def test_line_rules_of_all_punctuation_and_languages():
+    rules = line_quality.LineRules()
+    pattern = line_quality.re.compile("|".join(map(line_quality.re.escape, rules.phrases)))
+    bad = ["-----", ". . . . .", "=====", "?????", "____", ";;;", "[ ] ( ) [x]", "• • •", "a ---- b ----", "————",
+           "Home • News • Sport • Contact", "Accueil / Actualités / Sport / Contact", "Start › Hilfe › Konto › Ende",
+           "Tous droits réservés.", "Alle Rechte vorbehalten.", "Todos los derechos reservados.", "Klicken Sie hier"]
+    good = ["• one item of a list", "and/or his/her 1/2/2020 at http://a.b/c/d", "col·lecció", "हिन्दी में लिखा हुआ वाक्य",
+            "Il a dit ‹ oui › puis ‹ non › et ‹ bon › au téléphone.", PROSE, "No. 7 (1990), pp. 3-9; see [4].", "«Sí», dijo."]
+    assert [line for line in bad if not line_quality.line_fails(line, rules, pattern)] == []
+    assert [line for line in good if line_quality.line_fails(line, rules, pattern)] == []
+    random = np.random.default_rng(3)
+    pieces = [*bad, *good, *"word zwei /  | » « › ‹ • ! $ -- click".split(), "\t"]
+    made = [" ".join(random.choice(pieces, random.integers(1, 12))) for _ in range(600)]
+    for line in [*bad, *good, *filter(str.strip, made)]:
+        assert line_quality.line_fails(line, rules, pattern) == plain_fails(line), line
+
+
 def test_line_quality_odd_rows(odd, none):
     found = line_quality.clean_lines(odd)
     assert found.count() == odd.count()
