@@ -16,7 +16,7 @@ Several ratings of a document count as the lowest. Repeated rows score equally.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import free_name, text_of
+from sluiceway.llm.shared import drawn_weights, free_name, text_of
 
 BLOCK_CHARS = 4_000_000
 SCALE = 10.0  # of the means, so that weights stay small
@@ -141,27 +141,38 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - sums[:, None], -50, 50)))
 
 
-def loss_slopes(sums: np.ndarray, thresholds: np.ndarray, grades: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+def loss_slopes(
+    sums: np.ndarray, thresholds: np.ndarray, grades: np.ndarray, weights: np.ndarray | None = None,
+) -> tuple[float, np.ndarray, np.ndarray]:
     """Mean negative log likelihood; its slopes by each sum and by each threshold."""
     n = len(sums)
+    if weights is None:
+        weights = np.ones(n)
     below = 1 / (1 + np.exp(np.clip(sums[:, None] - thresholds[None, :], -50, 50)))  # P(grade <= k)
     edge = np.concatenate((np.zeros((n, 1)), below, np.ones((n, 1))), axis=1)
     slope = edge * (1 - edge)
     rows = np.arange(n)
     high, low = edge[rows, grades + 1], edge[rows, grades]
     chance = np.maximum(high - low, 1e-9)
-    by_high, by_low = slope[rows, grades + 1] / chance, slope[rows, grades] / chance
+    by_high, by_low = weights * slope[rows, grades + 1] / chance, weights * slope[rows, grades] / chance
     by_threshold = np.array([
         (by_low[grades == k + 1].sum() - by_high[grades == k].sum()) / n for k in range(len(thresholds))])
-    return float(-np.log(chance).mean()), (by_high - by_low) / n, by_threshold
+    return float(-(weights * np.log(chance)).mean()), (by_high - by_low) / n, by_threshold
 
 
-def fit(texts: Sequence[str], grades: Sequence[int], recipe: Recipe = Recipe()) -> Model:
-    """Adam on the whole sample. Thresholds are a first one and positive gaps, so they stay in order."""
+def fit(
+    texts: Sequence[str], grades: Sequence[int], recipe: Recipe = Recipe(), counts: Mapping[int, int] | None = None,
+) -> Model:
+    """Adam on the whole sample. Thresholds are a first one and positive gaps, so they stay in order.
+
+    ``counts`` are the ratings of each grade that the sample was drawn from: texts weigh by
+    their shares, not by those drawn.
+    """
     marks = np.clip(np.asarray(grades, np.int64), 0, recipe.grades - 1)
     cuts = recipe.grades - 1
     if len(set(marks.tolist())) < 2:
         return Model(recipe, np.zeros(1 << recipe.bits), np.zeros(cuts), int(marks[0]) if len(marks) else 0)
+    weights = drawn_weights(marks, counts)
     coded = Coded.of(texts, recipe)
     # Counts of distinct words in each text, as means.
     pairs, counts = np.unique(coded.owners * len(coded.by_word) + coded.words, return_counts=True)
@@ -174,7 +185,7 @@ def fit(texts: Sequence[str], grades: Sequence[int], recipe: Recipe = Recipe())
         model.thresholds = flat[0] + np.concatenate(([0.0], np.cumsum(np.exp(flat[1:cuts]))))
         each = model.weights[coded.by_word].sum(axis=1)
         sums = np.bincount(owner, weights=each[word] * share, minlength=len(texts)) + model.weights[coded.by_text].sum(axis=1)
-        _, by_sum, by_cut = loss_slopes(sums, model.thresholds, marks)
+        _, by_sum, by_cut = loss_slopes(sums, model.thresholds, marks, weights)
         grow = np.zeros_like(flat)
         grow[0] = by_cut.sum()
         for k in range(1, cuts):
@@ -197,13 +208,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def learnable(ratings: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", grade: str = "grade") -> DataFrame:
+    """One grade per document, without those held out."""
+    rated = ratings.where(F.col(grade).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
+        F.col(doc_id).alias("_id")).agg(F.min(F.col(grade).cast("int")).alias("_grade"))
+    return rated.where(~held_out(F.col("_id")) & F.col("_grade").between(0, recipe.grades - 1))
+
+
+def grade_counts(ratings: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", grade: str = "grade") -> dict[int, int]:
+    """How many learnable documents have each grade, counted over all of them."""
+    counted = learnable(ratings, recipe, doc_id=doc_id, grade=grade).groupBy("_grade").agg(F.count("*").alias("_n"))
+    return {row["_grade"]: row["_n"] for row in counted.collect()}
+
+
 def training_sample(
     docs: DataFrame, ratings: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", text: str = "text", grade: str = "grade",
 ) -> tuple[list[str], list[int]]:
     """At most ``rows`` rated texts of each grade, drawn by a hash of their id."""
-    rated = ratings.where(F.col(grade).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
-        F.col(doc_id).alias("_id")).agg(F.min(F.col(grade).cast("int")).alias("_grade"))
-    learnt = rated.where(~held_out(F.col("_id"))).withColumn("_draw", F.xxhash64(F.col("_id"), F.lit(recipe.seed)))
+    learnt = learnable(ratings, recipe, doc_id=doc_id, grade=grade).withColumn(
+        "_draw", F.xxhash64(F.col("_id"), F.lit(recipe.seed)))
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("_text"))
     texts: list[str] = []
     grades: list[int] = []

@@ -41,7 +41,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     recipe = toxicity.Recipe()
-    network = toxicity.fit(*toxicity.training_sample(docs, labels, recipe), recipe)
+    network = toxicity.fit(*toxicity.training_sample(docs, labels, recipe), recipe, toxicity.class_counts(labels))
     return toxicity.toxicity(docs, network).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -93,7 +93,8 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
     ratings = labels.where("quality IS NOT NULL AND toxic IS NOT NULL").select("doc_id", grade.alias("grade"))
     recipe = ordinal_quality.Recipe()
-    model = ordinal_quality.fit(*ordinal_quality.training_sample(docs, ratings, recipe), recipe)
+    counts = ordinal_quality.grade_counts(ratings, recipe)
+    model = ordinal_quality.fit(*ordinal_quality.training_sample(docs, ratings, recipe), recipe, counts)
     return ordinal_quality.rate(docs, model).select(
         "doc_id", ordinal_quality.held_out(F.col("doc_id")).alias("held_out"),
         F.col("rating.expected").alias("expected_grade"), F.col("rating.tails")[0].alias("p_at_least_1"),

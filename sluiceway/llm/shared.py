@@ -1,10 +1,11 @@
-"""Helpers that several operators use: shared folders, global ranks, free column names."""
+"""Helpers that several operators use: shared folders, global ranks, free column names, weights."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,3 +72,14 @@ def with_rank(df: DataFrame, keys: Sequence[str], group: str | None = None, rank
         .withColumn(rank, F.col("_before") + F.col("_place"))
         .drop("_range", "_before", "_place")
     )
+
+
+def drawn_weights(kinds: np.ndarray, counts: Mapping[int, int] | None) -> np.ndarray:
+    """Weights, one on average, that give each kind of a sample its share of ``counts``."""
+    weights = np.ones(len(kinds))
+    if counts is None:
+        return weights
+    for kind in np.unique(kinds):
+        own = kinds == kind
+        weights[own] = counts[int(kind)] / own.sum()
+    return weights / weights.mean()

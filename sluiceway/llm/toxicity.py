@@ -16,7 +16,7 @@ any. Several labels of one document count as toxic if one is. Repeated rows scor
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import free_name, text_of
+from sluiceway.llm.shared import drawn_weights, free_name, text_of
 
 #: Not part of a word's form.
 EDGES = b".,;:!?\"'()[]{}"
@@ -290,21 +290,29 @@ def some_windows(windows: np.ndarray, chosen: np.ndarray, words: Words) -> tuple
     return Words(words.forms[used], words.grams[at], np.repeat(np.arange(len(used)), sizes)), places.T
 
 
-def calibrated(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+def calibrated(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and level of a logistic fit, by Newton steps with a little shrinkage."""
+    if weights is None:
+        weights = np.ones(len(labels))
     a, b = 1.0, 0.0
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-        w = p * (1 - p) + 1e-6
-        g = np.array([((p - labels) * logits).sum() + 1e-2 * (a - 1), (p - labels).sum() + 1e-2 * b])
+        w = weights * p * (1 - p) + 1e-6
+        off = weights * (p - labels)
+        g = np.array([(off * logits).sum() + 1e-2 * (a - 1), off.sum() + 1e-2 * b])
         m = np.array([[(w * logits * logits).sum() + 1e-2, (w * logits).sum()], [(w * logits).sum(), w.sum() + 1e-2]])
         a, b = np.array([a, b]) - np.linalg.solve(m, g)
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
-def fit(texts: Sequence[str], labels: Sequence[int], recipe: Recipe = Recipe()) -> Network:
+def fit(
+    texts: Sequence[str], labels: Sequence[int], recipe: Recipe = Recipe(), counts: Mapping[int, int] | None = None,
+) -> Network:
     """Train on labelled texts: Adam over the windows that score highest in their text.
 
+    ``counts`` are the labels of either kind that the sample was drawn from: the score is
+    calibrated to their shares, not to those drawn.
+
     Of a clean text a second window, drawn at random, is taken too. The first round takes
     random windows of all texts. Seeds are fixed, so equal samples give equal networks.
     """
@@ -313,6 +321,7 @@ def fit(texts: Sequence[str], labels: Sequence[int], recipe: Recipe = Recipe())
     if not len(marks) or marks.min() == marks.max():
         network.constant = float(marks.mean()) if len(marks) else 0.0
         return network
+    weights = drawn_weights(marks, counts)
     words, windows, owners = coded_texts(texts, recipe)
     heads = np.flatnonzero(np.diff(owners, prepend=-1))
     sizes = np.diff(np.append(heads, len(owners)))
@@ -348,7 +357,7 @@ def fit(texts: Sequence[str], labels: Sequence[int], recipe: Recipe = Recipe())
                     second[name] *= np.float32(0.99)
                     second[name] += np.float32(0.01) * g * g
                     getattr(network, name)[...] -= np.float32(rate) * first[name] / (np.sqrt(second[name]) + np.float32(1e-6))
-    network.scale = calibrated(text_logits(network, texts), marks)
+    network.scale = calibrated(text_logits(network, texts), marks, weights)
     return network
 
 
@@ -357,19 +366,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def learnable(labels: DataFrame, *, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """One label per document, without those held out."""
+    marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
+        F.col(doc_id).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_label"))
+    return marks.where(~held_out(F.col("_id"))).withColumn("_label", (F.col("_label") > 0).cast("int"))
+
+
+def class_counts(labels: DataFrame, *, doc_id: str = "doc_id", label: str = "toxic") -> dict[int, int]:
+    """How many learnable documents are clean and how many toxic, counted over all of them."""
+    counted = learnable(labels, doc_id=doc_id, label=label).groupBy("_label").agg(F.count("*").alias("_n"))
+    return {row["_label"]: row["_n"] for row in counted.collect() if row["_label"] is not None}
+
+
 def training_sample(
     docs: DataFrame, labels: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> tuple[list[str], list[int]]:
     """At most ``toxic_rows`` and ``clean_rows`` labelled texts, drawn by a hash of their id."""
-    marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
-        F.col(doc_id).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_label"))
-    learnt = marks.where(~held_out(F.col("_id"))).withColumn("_draw", F.xxhash64(F.col("_id"), F.lit(recipe.seed)))
+    learnt = learnable(labels, doc_id=doc_id, label=label).withColumn("_draw", F.xxhash64(F.col("_id"), F.lit(recipe.seed)))
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("_text"))
     texts: list[str] = []
     kinds: list[int] = []
     for kind, most in ((1, recipe.toxic_rows), (0, recipe.clean_rows)):
         # Ids are drawn from the labels first: at most `most` of them are broadcast.
-        ids = learnt.where((F.col("_label") > 0) == F.lit(bool(kind))).orderBy("_draw", "_id").limit(most)
+        ids = learnt.where(F.col("_label") == kind).orderBy("_draw", "_id").limit(most)
         part = rows.join(F.broadcast(ids), "_id").where(F.octet_length("_text") <= recipe.longest)
         found = [row["_text"] for row in part.orderBy("_draw", "_id", "_text").limit(most).select("_text").collect()]
         texts += found

@@ -497,6 +497,39 @@ def test_toxicity_finds_planted_words(spark):
     assert len(right) > 60 and np.mean(right) > 0.95
 
 
+def noisy_texts(random, marks):
+    """Texts in which every second toxic one shows nothing of it."""
+    return [" ".join(random.choice(["la", "mi", "tor", "sen"], 12).tolist() + ["vile"] * (mark and i % 2)) for i, mark in enumerate(marks)]
+
+
+def test_score_follows_the_labels_not_the_draw(spark):
+    random = np.random.default_rng(5)
+    marks = (random.random(3000) < 0.3).astype(int)
+    docs = spark.createDataFrame(list(enumerate(noisy_texts(random, marks.tolist()))), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(marks.tolist())), "doc_id long, toxic int")
+    recipe = toxicity.Recipe(toxic_rows=400, clean_rows=200, rounds=2, window=16, stride=8)
+    counts = toxicity.class_counts(labels)
+    learnt = [row[0] for row in labels.where(~toxicity.held_out(F.col("doc_id"))).select("toxic").collect()]
+    assert counts == {0: learnt.count(0), 1: learnt.count(1)}
+    network = toxicity.fit(*toxicity.training_sample(docs, labels, recipe), recipe, counts)
+    score = [row[0] for row in toxicity.toxicity(docs, network).select("score").collect()]
+    assert np.mean(score) == pytest.approx(marks.mean(), abs=0.04)  # the sample has two thirds
+
+
+def test_ordinal_tails_follow_the_ratings_not_the_draw(spark):
+    random = np.random.default_rng(6)
+    grades = random.choice(3, 3000, p=[0.1, 0.1, 0.8])
+    docs = spark.createDataFrame(
+        list(enumerate(noisy_texts(random, (grades == 0).astype(int).tolist()))), "doc_id long, text string")
+    ratings = spark.createDataFrame(list(enumerate(grades.tolist())), "doc_id long, grade int")
+    recipe = ordinal_quality.Recipe(rows=200)
+    counts = ordinal_quality.grade_counts(ratings, recipe)
+    assert sorted(counts) == [0, 1, 2] and counts[2] > 4 * counts[0]
+    model = ordinal_quality.fit(*ordinal_quality.training_sample(docs, ratings, recipe), recipe, counts)
+    tail = [row[0][0] for row in ordinal_quality.rate(docs, model).select("rating.tails").collect()]
+    assert np.mean(tail) == pytest.approx((grades > 0).mean(), abs=0.04)
+
+
 def test_models_odd_rows(spark, odd, none):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     constant = toxicity.fit(*toxicity.training_sample(odd, empty, toxicity.Recipe()))
