@@ -15,6 +15,7 @@ from sluiceway.llm import (
     line_quality,
     ngram_join,
     ordinal_quality,
+    periodic_runs,
     quote_links,
     source_mix,
     token_counts,
@@ -118,3 +119,21 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(documents(spark, sf_dir)).drop("text_hash", "stays")
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of one id in ten get a tail that repeats before they are judged."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, with_text=False, rewrite=periodic_runs.planted)
+    runs = F.col("periodic.runs")
+    listed = F.transform(runs, lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    best = found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), periodic_runs.strongest(runs).alias("best"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.col("periodic.collapsed_sha256").alias("collapsed_sha256"))
+    exponent = F.expr("(1000 * best.length) div best.period")
+    return best.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", exponent.alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
