@@ -120,6 +120,47 @@ SELECT doc_id, class_id, copy_id, coalesce(n_links, 0) AS n_links, n_grams
 FROM copies JOIN classes USING (doc_id) LEFT JOIN degrees USING (doc_id)
 """
 
+OP12 = f"""
+WITH RECURSIVE known AS (
+  SELECT doc_id, max(coalesce((quality = 1)::INT, 0)) AS good, max(coalesce((toxic = 1)::INT, 0)) AS toxic
+  FROM labels GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce((doc_id > min(doc_id) OVER (PARTITION BY text))::INT, 0) AS mask
+  FROM texts LEFT JOIN known USING (doc_id)),
+counters AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+orders(filter_order) AS (
+  SELECT '' UNION ALL
+  SELECT filter_order || letter FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS letters(letter)
+  WHERE NOT contains(filter_order, letter)),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+         (1 << (ascii(substr(filter_order, step, 1)) - 65)) AS own,
+         coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, i::INT, 1)) - 65))), 0)::INT
+           AS before
+  FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5])::INT AS step FROM orders WHERE length(filter_order) = 5)),
+counted AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM counters CROSS JOIN steps GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3, "op4_line_quality": OP4, "op8_source_mix": OP8, "op10_ngram_join": OP10,
+    "op12_filter_audit": OP12,
 }

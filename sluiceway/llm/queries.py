@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm import (
     byte_bpe,
     exact_dedup,
+    filter_audit,
     hilbert_shards,
     line_quality,
     ngram_join,
@@ -121,6 +122,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(documents(spark, sf_dir)).drop("text_hash", "stays")
 
 
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    counters = filter_audit.count_masks(spark, f"{sf_dir}/documents.parquet", labels)
+    return filter_audit.report(counters).select(
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of one id in ten get a tail that repeats before they are judged."""
