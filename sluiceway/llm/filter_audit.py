@@ -13,6 +13,8 @@
 
 A text that many rows share is one row per Arrow batch and label before anything is keyed by
 it, and its state is a number per part and label. Ids and labels meet in an ordinary join.
+State takes some 70 bytes a text, in the store that the session names: executors' memory by
+default, disk with the RocksDB provider.
 
 Defined results: null texts count as empty, a null part as the empty string. A null id is
 neither larger nor smaller than another one: such rows never fail on repeats and make no
@@ -40,8 +42,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from sluiceway.llm.shared import shared_folder, text_of
 
 CAPITALS = string.ascii_uppercase.encode()
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 ROW = ("digest", "mask", "part", "good", "toxic", "id", "kind", "n")
 KEYED = "digest string, mask int, part string, good int, toxic int, id long, kind int, n long"
@@ -64,8 +64,8 @@ class Filters:
     distinct_share: int = 80
     capital_share: int = 10
     symbols: str = "#$%&*|"
-    core_bytes: int = 16 << 20
-    texts: int = 64
+    core_bytes: int = 64 << 20
+    texts: int = 128
     letters: str = field(default="ABCDE", init=False)
 
     @property
@@ -181,14 +181,8 @@ def count_masks(
         .withColumn("key", F.pmod(F.xxhash64("digest"), F.lit(keys))).groupBy("key")
         .applyInPandasWithState(partial(changed, repeat=rules.repeat_bit), CHANGE, HELD, "append", GroupStateTimeout.NoTimeout)
         .mapInPandas(summed, CHANGE))
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKS)  # on disk, as texts are many; the query keeps what it starts with
-    try:
-        query = changes.writeStream.format("parquet").outputMode("append").option(
-            "checkpointLocation", checkpoint).trigger(availableNow=True).start(sink)
-    finally:
-        spark.conf.set(STORE, before) if before is not None else spark.conf.unset(STORE)
-    query.awaitTermination()
+    changes.writeStream.format("parquet").outputMode("append").option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
     return spark.read.schema(CHANGE).parquet(sink).groupBy("part", "mask", "good", "toxic").agg(
         F.sum("n").alias("n")).where("n != 0")
 

@@ -79,7 +79,7 @@ def known_labels(spark, folder):
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
-@pytest.mark.parametrize("texts", [1, 64])
+@pytest.mark.parametrize("texts", [1, 128])
 def test_every_order_equals_counting(spark, tables, texts):
     counters = fa.count_masks(
         spark, f"{tables}/documents.parquet", known_labels(spark, tables), rules=fa.Filters(texts=texts), maxFilesPerTrigger="1")
