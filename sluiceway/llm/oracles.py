@@ -120,6 +120,28 @@ SELECT doc_id, class_id, copy_id, coalesce(n_links, 0) AS n_links, n_grams
 FROM copies JOIN classes USING (doc_id) LEFT JOIN degrees USING (doc_id)
 """
 
+OP11 = f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORD}) AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS grams
+  FROM base),
+grams AS (SELECT doc_id, len(grams) AS n, hash(unnest(grams)) AS gram FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n + b.n) AS n, count(*) AS common
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id
+       AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE 9 * common >= 4 * n),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reach JOIN both_ways ON a = reach.doc_id),
+classes AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(grams) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN classes USING (doc_id)
+"""
+
 OP12 = f"""
 WITH RECURSIVE known AS (
   SELECT doc_id, max(coalesce((quality = 1)::INT, 0)) AS good, max(coalesce((toxic = 1)::INT, 0)) AS toxic
@@ -162,5 +184,5 @@ FROM counted
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3, "op4_line_quality": OP4, "op8_source_mix": OP8, "op10_ngram_join": OP10,
-    "op12_filter_audit": OP12,
+    "op11_signature_join": OP11, "op12_filter_audit": OP12,
 }

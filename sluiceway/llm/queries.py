@@ -18,6 +18,7 @@ from sluiceway.llm import (
     ordinal_quality,
     periodic_runs,
     quote_links,
+    signature_join,
     source_mix,
     token_counts,
     toxicity,
@@ -122,6 +123,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(documents(spark, sf_dir)).drop("text_hash", "stays")
 
 
+@query
+def op11_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.near_classes(documents(spark, sf_dir))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")

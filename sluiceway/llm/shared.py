@@ -1,11 +1,12 @@
-"""Helpers that several operators use: shared folders, global ranks, free column names, weights."""
+"""Helpers that several operators use: shared folders, global ranks, units of work, free column names, weights."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +75,29 @@ def with_rank(df: DataFrame, keys: Sequence[str], group: str | None = None, rank
     )
 
 
+def per_unit(
+    keys: Sequence[str], work: Callable[[pd.DataFrame], pd.DataFrame],
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``work`` for the rows of each unit, in partitions that are sorted by the unit's ``keys``.
+
+    One unit is held at a time, whatever Arrow batches it is cut into.
+    """
+    keys = list(keys)
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, rows in batch.groupby(keys, sort=False):
+                if held and tuple(held[0][keys].iloc[0]) != tuple(rows[keys].iloc[0]):
+                    yield work(pd.concat(held))
+                    held = []
+                held.append(rows)
+        if held:
+            yield work(pd.concat(held))
+
+    return each
+
+
 def drawn_weights(kinds: np.ndarray, counts: Mapping[int, int] | None) -> np.ndarray:
     """Weights, one on average, that give each kind of a sample its share of ``counts``."""
     weights = np.ones(len(kinds))
