@@ -76,24 +76,29 @@ def with_rank(df: DataFrame, keys: Sequence[str], group: str | None = None, rank
 
 
 def per_unit(
-    keys: Sequence[str], work: Callable[[pd.DataFrame], pd.DataFrame],
+    keys: Sequence[str], work: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 1,
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """``work`` for the rows of each unit, in partitions that are sorted by the unit's ``keys``.
+    """``work`` for whole units in partitions that are sorted by the unit's ``keys``.
 
-    One unit is held at a time, whatever Arrow batches it is cut into.
+    It gets the next units that have ``rows`` rows together, by default one unit, whatever
+    Arrow batches they are cut into. Nothing else is held.
     """
     keys = list(keys)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held = None
         for batch in batches:
-            for _, rows in batch.groupby(keys, sort=False):
-                if held and tuple(held[0][keys].iloc[0]) != tuple(rows[keys].iloc[0]):
-                    yield work(pd.concat(held))
-                    held = []
-                held.append(rows)
-        if held:
-            yield work(pd.concat(held))
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            names = held[keys].to_numpy()
+            starts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+            begin = 0
+            for start in starts.tolist():  # the last unit may go on in the next batch
+                if start - begin >= rows:
+                    yield work(held.iloc[begin:start].reset_index(drop=True))
+                    begin = start
+            held = held.iloc[begin:]
+        if held is not None and len(held):
+            yield work(held.reset_index(drop=True))
 
     return each
 

@@ -9,8 +9,8 @@
 3. Every posting list links its members to its first one. Such pairs are kept if they agree
    in enough coordinates, and then verified on full sets; components of these links come next.
    A group of m near copies is done here with m pairs for each list.
-4. Lists whose members all lie in one component are skipped. The others are merged in blocks:
-   pairs within a component, of sizes that can't reach the threshold, or met already in the
+4. Lists whose members all lie in one component are skipped. The others are merged in blocks,
+   members outside a list's largest component with all: pairs within a component, of sizes that can't reach the threshold, or met already in the
    list of a rarer pair that both share are skipped; coordinates of the rest are counted. What
    agrees often enough is verified on full sets, block by block.
 5. Components of all links are the classes of near duplicates.
@@ -184,46 +184,66 @@ def head_units(pairs: DataFrame, how: Signatures) -> DataFrame:
 
 
 def list_units(lists: DataFrame, roots: DataFrame, how: Signatures) -> DataFrame:
-    """Units of work for lists with several components: each pair of blocks, with signatures' owners and roots."""
+    """Units of work for lists with several components, by pairs of blocks.
+
+    A list's largest component makes blocks of its own, which are never paired with each other:
+    where most members are one component, they are dealt out once for each block of the rest.
+    """
     rooted = written(lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-lists")
-    mixed = written(rooted.groupBy("coord", "value").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.sum("size").alias("shingles"),
-    ).where("low != high").select("coord", "value", blocks_of(F.col("n"), F.col("shingles"), how).alias("blocks")), "mixed-lists")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    parts = rooted.groupBy("coord", "value", "root").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    main = F.max(F.struct("n", "shingles", "root"))
+    mixed = parts.groupBy("coord", "value").agg(
+        main.alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles")).where("roots > 1")
+    mixed = written(mixed.select(
+        "coord", "value", F.col("main.root").alias("main"),
+        blocks_of(F.col("main.n"), F.col("main.shingles"), how).alias("main_blocks"),
+        blocks_of(F.col("n") - F.col("main.n"), F.col("shingles") - F.col("main.shingles"), how).alias("blocks")), "mixed-lists")
+    is_main = F.col("root") == F.col("main")
+    spread = F.xxhash64("node")
+    own = F.when(is_main, F.col("blocks") + F.pmod(spread, F.col("main_blocks"))).otherwise(F.pmod(spread, F.col("blocks")))
+    last = F.when(is_main, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1
     return (
-        rooted.join(mixed, ["coord", "value"]).withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rooted.join(mixed, ["coord", "value"]).withColumn("own", own.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .select(F.concat(F.col("coord").cast("string"), F.lit(":"), F.col("value").cast("string")).cast("binary").alias("unit"),
                 F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "own", "node", "root", "size"))
 
 
-def agree_in_unit(rows: pd.DataFrame, how: Signatures) -> pd.DataFrame:
-    """Members of a unit that agree often enough with one of another component whom no earlier list has."""
-    rows = rows.sort_values("node", kind="stable")
-    coordinate = int(rows["unit"].iloc[0].split(b":")[0])
-    first, second = int(rows["first"].iloc[0]), int(rows["second"].iloc[0])
-    own, size = rows["own"].to_numpy(), rows["size"].to_numpy()
+def agree_in_units(rows: pd.DataFrame, how: Signatures) -> pd.DataFrame:
+    """Members of units that agree often enough with one of another component whom no earlier list has.
+
+    ``rows`` are whole units, one after the other; places a fixed step apart are compared at once.
+    """
+    first, second, own = (rows[name].to_numpy() for name in ("first", "second", "own"))
+    unit = np.cumsum(np.concatenate([[True], (rows[UNIT].to_numpy()[1:] != rows[UNIT].to_numpy()[:-1]).any(axis=1)]))
+    coordinate = np.array([int(one.split(b":")[0]) for one in rows["unit"]])
+    size = rows["size"].to_numpy() * how.share.denominator
+    least = rows["size"].to_numpy() * how.share.numerator
     root = np.unique(np.array(rows["root"].tolist(), object), return_inverse=True)[1]
     signs = np.stack(rows["sig"].tolist())
+    # Posted coordinates in the order of the lists; the last entries of shorter prefixes are repeats.
+    orders = np.stack([np.resize(one, how.hashes - how.matches + 1) if len(one) > how.hashes - how.matches
+                       else np.concatenate([one, np.full(how.hashes - how.matches + 1 - len(one), one[-1])]) for one in rows["coords"]])
     posted = np.zeros(signs.shape, bool)
-    orders = [np.asarray(one, np.int64) for one in rows["coords"]]
-    for i, one in enumerate(orders):
-        posted[i, one] = True
-    share, hit = how.share, np.zeros(len(rows), bool)
-    other_side = own == second
-    for i in np.flatnonzero(own == first):
-        near = other_side & (root != root[i])
-        near &= np.minimum(size, size[i]) * share.denominator >= np.maximum(size, size[i]) * share.numerator
-        at = np.flatnonzero(near)
-        if not len(at):
+    np.put_along_axis(posted, orders, True, axis=1)
+    hit = np.zeros(len(rows), bool)
+    for step in range(1, len(rows)):
+        a = np.flatnonzero(unit[step:] == unit[:-step])
+        if not len(a):
+            break
+        b = a + step
+        near = (root[a] != root[b]) & ((own[a] != own[b]) | (first[a] == second[a]))
+        near &= (np.minimum(size[a], size[b]) >= np.maximum(least[a], least[b]))
+        a, b = a[near], b[near]
+        equal = signs[a] == signs[b]
+        near = equal.sum(axis=1) >= how.matches
+        a, b, equal = a[near], b[near], equal[near]
+        if not len(a):
             continue
-        equal = signs[at] == signs[i]
-        at, equal = at[equal.sum(axis=1) >= how.matches], equal[equal.sum(axis=1) >= how.matches]
-        # The first pair of the own prefix that the other one has posted too is the list that counts.
-        met = equal[:, orders[i]] & posted[at][:, orders[i]]
-        here = at[orders[i][met.argmax(axis=1)] == coordinate] if len(at) else at
-        hit[here] = True
-        hit[i] |= len(here) > 0
+        # The first pair of a's prefix that b has posted too is the list that counts.
+        met = np.take_along_axis(equal & posted[b], orders[a], axis=1)
+        here = orders[a, met.argmax(axis=1)] == coordinate[a]
+        hit[a[here]] = hit[b[here]] = True
     return rows.loc[hit, [*UNIT, "own", "node"]]
 
 
@@ -292,7 +312,7 @@ def near_classes(
         heads.select("node", F.transform("prefix", lambda pair: pair["coord"]).alias("coords")), "node").join(
         classes.select("node", "sig"), "node")
     found = written(by_unit(units).mapInPandas(
-        per_unit(UNIT, lambda one: agree_in_unit(one, how)), "unit binary, first int, second int, own int, node binary"), "unit-members")
+        per_unit(UNIT, lambda some: agree_in_units(some, how), rows=4096), "unit binary, first int, second int, own int, node binary"), "unit-members")
     more = verified(found, full_sets(docs, classes, found, how, doc_id=doc_id, text=text), how)
 
     edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
