@@ -164,6 +164,12 @@ ORACLES: dict[str, str] = {
     "typed_table_recreate": f"SELECT {_typed()} FROM {PARTS}",
     "table_append": f"{ACCEPTED} UNION ALL SELECT {_typed()} FROM {PARTS}",
     "load_repeated": f"{ACCEPTED} UNION ALL SELECT {_typed()} FROM {PARTS}",
+    "load_ledger": (
+        "SELECT *, rows_taken AS rows_in_table FROM (SELECT 'orders' AS source, 3::BIGINT AS portions, count(*) AS rows_in, "
+        "count(*) FILTER (reject_reason = 'ok') AS rows_taken, count(*) FILTER (reject_reason <> 'ok') AS rows_rejected, "
+        f"true AS balanced FROM {CHECKED} UNION ALL "
+        f"SELECT 'parts', 3, count(*), count(*), 0, true FROM {PARTS})"
+    ),
     "product_file_rejects": (
         "SELECT cast(o_orderkey AS varchar) AS id, "
         f"CASE WHEN o_orderkey % 7 <> 5 THEN {fx.BROKEN_COUNT} END AS review_count, "

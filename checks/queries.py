@@ -21,6 +21,7 @@ from sluiceway.functions.expressions import (
 from sluiceway.operators import change_events as changes
 from sluiceway.operators import constraints, product_events, products
 from sluiceway.plans import catalog, jobs
+from sluiceway.plans.ledger import Ledger
 from sluiceway.schemas import (
     DECIMAL_COLUMNS,
     DOUBLE_ROW,
@@ -222,6 +223,28 @@ def load_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop(catalog.LOAD)
 
 
+@query
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two paced loads into one table, the second made twice: what the ledger says of each."""
+    base = _database(spark)
+    name, rejects = f"{base}.products", fresh_folder(spark)
+    catalog.recreate_table(spark, name, location=fresh_folder(spark), by_load=True)
+    ledger = Ledger.open(spark, f"{base}.loads", fresh_folder(spark))
+    orders = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
+    parts = fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS)
+    for source, rows in (("orders", orders), ("parts", parts), ("parts", None)):
+        if rows is not None:
+            path, schema = fresh_folder(spark), rows.schema
+            rows.repartition(3).write.parquet(path)
+        arriving = replay(spark, path, schema, "parquet", files_per_batch=1)
+        wait(jobs.start_paced_load(
+            arriving, lambda portion, load: jobs.load_catalog_table(portion, name, rejects, load, ledger),
+            fresh_folder(spark), source=source))
+    in_table = spark.table(name).groupBy(F.regexp_replace(catalog.LOAD, "_[0-9]+$", "").alias("source")).agg(
+        F.count("*").alias("rows_in_table"))
+    return ledger.by_source().join(in_table, "source")
+
+
 @query
 def product_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file whose cells and rows are broken in several ways: what is kept aside, and why."""

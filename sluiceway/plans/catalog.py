@@ -15,14 +15,15 @@ from sluiceway.schemas import LAKE_ROW, PARTITION_COLUMN, TABLE, columns_ddl, pl
 
 #: Partition column of tables that keep the load that rows came with.
 LOAD = "load_id"
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_database(spark: SparkSession, name: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {_quoted(location)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {quoted(location)}")
 
 
 def recreate_table(
@@ -36,23 +37,27 @@ def recreate_table(
     """Drop the table if it is there and create it empty, with declared types.
 
     Dropping a table at a location leaves its files, so what is there is overwritten
-    by nothing. ``by_load`` partitions the table by the load that rows came with, which
+    by nothing, also in partitions that the catalog does not know. ``by_load`` partitions the table by the load that rows came with, which
     ``replace_load`` needs.
     """
-    place = f" LOCATION {_quoted(location)}" if location else ""
+    place = f" LOCATION {quoted(location)}" if location else ""
     columns, parts = columns_ddl(schema), ""
     if by_load:
         columns, parts = f"{columns}, `{LOAD}` string", f" PARTITIONED BY ({LOAD})"
-    if location and spark.catalog.tableExists(name):
-        _overwrite_by_nothing(spark, name)  # the partitions that the catalog knows
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING {format}{parts}{place}")
-    if location and not by_load:
-        _overwrite_by_nothing(spark, name)  # files that another table left
+    if location:
+        _overwrite_by_nothing(spark, name)  # files that another table left, in partitions too
 
 
 def _overwrite_by_nothing(spark: SparkSession, name: str) -> None:
-    spark.createDataFrame([], plain(spark.table(name).schema)).write.insertInto(name, overwrite=True)
+    """Empty a table and its location. In static mode an overwrite takes whatever lies there."""
+    dynamic = spark.conf.get(OVERWRITE, None)
+    spark.conf.set(OVERWRITE, "static")
+    try:
+        spark.createDataFrame([], plain(spark.table(name).schema)).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.unset(OVERWRITE) if dynamic is None else spark.conf.set(OVERWRITE, dynamic)
 
 
 def table_columns(spark: SparkSession, name: str) -> list[str]:
@@ -74,12 +79,17 @@ def replace_load(df: DataFrame, name: str, load_id: str) -> None:
     bind_by_position(df, columns).createOrReplaceTempView(view)
     try:
         spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD} = {_quoted(load_id)}) SELECT * FROM {view}"
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD} = {quoted(load_id)}) SELECT * FROM {view}"
         )
     finally:
         spark.catalog.dropTempView(view)
 
 
+def load_rows(spark: SparkSession, name: str, load_id: str) -> int:
+    """Rows that a table partitioned by load has of one load, counted from file footers."""
+    return spark.table(name).where(f"{LOAD} = {quoted(load_id)}").count()
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -103,12 +113,12 @@ def register_table(
         refresh_table(spark, name)
         return
     if format == "delta":
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION {_quoted(location)}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION {quoted(location)}")
         return
     parts = f" PARTITIONED BY ({partition_by})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(schema)}) "
-        f"USING {format}{parts} LOCATION {_quoted(location)}"
+        f"USING {format}{parts} LOCATION {quoted(location)}"
     )
     refresh_table(spark, name)
     if changed := _other_types(spark, name, schema):

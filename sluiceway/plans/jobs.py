@@ -14,11 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.operators.constraints import CORRUPT, CORRUPT_REASON, REASON, accepted, check_constraints, rejected
 from sluiceway.operators.products import bind_by_position, clean_products
 from sluiceway.plans import catalog
+from sluiceway.plans.ledger import Ledger, LoadId
 from sluiceway.schemas import PRODUCT_COLUMNS
 from sluiceway.sources import jdbc
 from sluiceway.sources.csv import read_csv_head, read_csv_text, write_csv
@@ -90,19 +91,35 @@ def read_products(
 
 
 def load_catalog_table(
-    df: DataFrame, table: str, rejects_path: str | None = None, load_id: str | None = None
+    df: DataFrame,
+    table: str,
+    rejects_path: str | None = None,
+    load_id: str | LoadId | None = None,
+    ledger: Ledger | None = None,
 ) -> CheckedRows:
     """Load the rows that a catalog table accepts; keep the rest as Parquet.
 
     With ``load_id`` a table that is partitioned by load takes the rows in place of
     those of an earlier attempt with that id. Without it rows are appended.
+
+    With a ``ledger``, which needs a ``LoadId`` and a place for rejects, the load is noted
+    there, and it raises unless the rows that came are those that lie in the table and among the
+    rejects. The latter two are counted from file footers; counting what came reads ``df`` once more.
     """
+    if ledger is not None and (not isinstance(load_id, LoadId) or rejects_path is None):
+        raise ValueError("a ledger needs the source and portion of a load, and a place for rejects")
+    own = None if load_id is None else str(load_id)
+    if ledger is not None:
+        ledger.begin(load_id)
     checked = checked_products(df)
-    _keep_rejects(checked, rejects_path, load_id)
-    if load_id is None:
+    _keep_rejects(checked, rejects_path, own)
+    if own is None:
         catalog.append_rows(checked.accepted, table)
     else:
-        catalog.replace_load(checked.accepted, table, load_id)
+        catalog.replace_load(checked.accepted, table, own)
+    if ledger is not None:
+        kept = _rejects(df.sparkSession, rejects_path).where(F.col(catalog.LOAD) == own).count()
+        ledger.finish(load_id, df.count(), catalog.load_rows(df.sparkSession, table, own), kept)
     return checked
 
 
@@ -110,7 +127,7 @@ def load_jdbc_table(
     df: DataFrame,
     table: jdbc.JdbcTable,
     rejects_path: str | None = None,
-    load_id: str | None = None,
+    load_id: str | LoadId | None = None,
     **options,
 ) -> CheckedRows:
     """Load the rows that a relational table accepts; keep the rest as Parquet.
@@ -119,36 +136,52 @@ def load_jdbc_table(
     creates anew and the database then takes over; see ``jdbc.staging_table``.
     """
     checked = checked_products(df)
-    _keep_rejects(checked, rejects_path, load_id)
+    _keep_rejects(checked, rejects_path, None if load_id is None else str(load_id))
     if load_id is None:
         jdbc.append_rows(checked.accepted, table, **options)
     else:
-        staging = jdbc.staging_table(table, load_id)
+        staging = jdbc.staging_table(table, str(load_id))
         jdbc.recreate_table(df.sparkSession, staging)
         jdbc.append_rows(checked.accepted, staging, PRODUCT_COLUMNS, **options)
     return checked
 
 
+def _rejects(spark: SparkSession, path: str) -> DataFrame:
+    """What loads kept aside, with the load of each row, null for loads without an id."""
+    found = spark.read.parquet(path).schema
+    # Given as text: an id such as 0000000001 would be read as a number.
+    load = StructField(catalog.LOAD, StringType())
+    columns = StructType([*(field for field in found if field.name != catalog.LOAD), load])
+    return spark.read.schema(columns).parquet(path)
+
+
 def reject_counts(spark: SparkSession, rejects_path: str) -> DataFrame:
     """Rejected rows per load and reason, from what was kept."""
-    kept = spark.read.parquet(rejects_path)
-    load = F.col(catalog.LOAD) if catalog.LOAD in kept.columns else F.lit(None).cast("string")
-    return kept.groupBy(load.alias(catalog.LOAD), "reject_reason").agg(F.count("*").alias("row_count"))
+    return _rejects(spark, rejects_path).groupBy(catalog.LOAD, "reject_reason").agg(F.count("*").alias("row_count"))
 
 
 def start_paced_load(
-    arriving: DataFrame, load: Callable[[DataFrame, str], object], checkpoint: str, interval: str | None = None
+    arriving: DataFrame,
+    load: Callable[[DataFrame, LoadId], object],
+    checkpoint: str,
+    interval: str | None = None,
+    source: str | None = None,
 ) -> StreamingQuery:
     """Load a replayed stream, a portion per ``interval``; all that is there without one.
 
     ``load`` gets a portion and its id, such as ``lambda rows, id:
-    load_catalog_table(rows, "lake.products", "s3a://rejects", load_id=id)``. A portion
-    that was loaded but not yet recorded when the job died is loaded again with the
-    same id.
+    load_catalog_table(rows, "lake.products", "s3a://rejects", id, ledger)``. The id holds the
+    stream's own identity and the number of the portion, so that streams into one table don't
+    replace each other's rows: ``source``, a name that the caller keeps unique, or else the id that
+    the checkpoint gives the stream. A portion that was loaded but not yet recorded when the job
+    died is loaded again with the same id.
     """
-    writer = arriving.writeStream.foreachBatch(
-        lambda portion, number: load(portion, f"{number:010d}") and None
-    ).option("checkpointLocation", checkpoint)
+    def portion(rows: DataFrame, number: int) -> None:
+        # Spark sets the property on the thread that runs the batch; it is the checkpoint's id of the query.
+        own = source or rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId").replace("-", "_")
+        load(rows, LoadId(own, number))
+
+    writer = arriving.writeStream.foreachBatch(portion).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -164,9 +197,11 @@ def stream_changes(
 
 
 def _keep_rejects(checked: CheckedRows, path: str | None, load_id: str | None) -> None:
+    """Rejects of a load go to its partition; those without an id to the partition of null."""
     if path is None:
         return
     if load_id is None:
-        checked.rejected.write.mode("append").parquet(path)
+        rows = checked.rejected.withColumn(catalog.LOAD, F.lit(None).cast("string"))
+        rows.write.mode("append").partitionBy(catalog.LOAD).parquet(path)
     else:
         checked.rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{catalog.LOAD}={load_id}")

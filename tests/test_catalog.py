@@ -134,3 +134,20 @@ def test_recreated_table_is_empty(spark, database, tmp_path):
             row = spark.createDataFrame([tuple(None for _ in filled)], filled)
             catalog.replace_load(row, name, "a") if by_load else catalog.append_rows(row, name)
             assert spark.table(name).count() == 1
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_recreated_table_by_load_stays_empty(spark, database, tmp_path, settings, mode):
+    """Files of a table that was dropped are gone, not only hidden until the next refresh."""
+    settings(spark__sql__sources__partitionOverwriteMode=mode)
+    name, place = f"{database}.again", str(tmp_path / "again")
+    catalog.recreate_table(spark, name, SMALL, location=place, by_load=True)
+    row = spark.range(10).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in catalog.plain(SMALL)))
+    catalog.replace_load(row, name, "a")
+    assert catalog.load_rows(spark, name, "a") == 10
+    spark.sql(f"DROP TABLE {name}")
+    catalog.recreate_table(spark, name, SMALL, location=place, by_load=True)
+    assert spark.table(name).count() == 0
+    catalog.refresh_table(spark, name)
+    assert spark.table(name).count() == 0
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode

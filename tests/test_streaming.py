@@ -1,3 +1,4 @@
+import json
 from pathlib import Path
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from sluiceway.plans import catalog, jobs
+from sluiceway.plans.ledger import Ledger, LoadId, LostRows
 from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS, REJECT_ROW, TOPIC_ROW
 from sluiceway.sources.lake import read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
@@ -122,7 +124,7 @@ def test_paced_load_into_a_table(spark, sf_dir, tmp_path, database, monkeypatch)
 
     def failing(df, table, load_id):
         once(df, table, load_id)
-        seen.append(load_id)
+        seen.append(str(load_id))
         if len(seen) == 1:
             raise RuntimeError("lost after the write")
 
@@ -135,7 +137,8 @@ def test_paced_load_into_a_table(spark, sf_dir, tmp_path, database, monkeypatch)
             query.awaitTermination()
         except Exception as error:
             assert "lost after the write" in str(error)
-    assert seen == ["0000000000", "0000000000", "0000000001"]
+    own = json.loads((tmp_path / "c" / "metadata").read_text())["id"].replace("-", "_")
+    assert seen == [f"{own}_0000000000", f"{own}_0000000000", f"{own}_0000000001"]
     whole = jobs.checked_products(rows)
     loaded = spark.table(name).drop(catalog.LOAD)
     assert loaded.exceptAll(whole.accepted).count() == 0 and loaded.count() == whole.accepted.count()
@@ -145,6 +148,66 @@ def test_paced_load_into_a_table(spark, sf_dir, tmp_path, database, monkeypatch)
     assert counts.agg(F.sum("row_count")).first()[0] == kept.count()
 
 
+@pytest.mark.parametrize("named", [True, False])
+def test_two_paced_loads_keep_all_rows(spark, sf_dir, tmp_path, database, named):
+    """Two sources, two checkpoints, one table: a load never takes the place of another one's rows."""
+    name, rejects = f"{database}.products", str(tmp_path / "rejects")
+    catalog.recreate_table(spark, name, location=str(tmp_path / "table"), by_load=True)
+    ledger = Ledger.open(spark, f"{database}.loads", str(tmp_path / "ledger"))
+    rows = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
+    rows.repartition(2).write.parquet(str(tmp_path / "source"))
+    for one in ("first", "second"):
+        arriving = replay(spark, str(tmp_path / "source"), rows.schema, "parquet", files_per_batch=1)
+        wait(jobs.start_paced_load(
+            arriving, lambda part, id: jobs.load_catalog_table(part, name, rejects, id, ledger),
+            str(tmp_path / one), source=one if named else None), timeout=300)
+    taken = jobs.checked_products(rows).accepted.count()
+    assert spark.table(name).count() == 2 * taken
+    assert jobs.reject_counts(spark, rejects).agg(F.sum("row_count")).first()[0] == 2 * (rows.count() - taken)
+    entries = ledger.by_source().collect()
+    assert len(entries) == 2 and ledger.unfinished().count() == 0
+    assert {(e.portions, e.rows_in, e.rows_taken, e.rows_rejected, e.balanced) for e in entries} == {
+        (2, rows.count(), taken, rows.count() - taken, True)}
+
+
+def test_ledger_tells_of_loads_that_died_or_lost_rows(spark, sf_dir, tmp_path, database, monkeypatch):
+    name, rejects = f"{database}.products", str(tmp_path / "rejects")
+    catalog.recreate_table(spark, name, location=str(tmp_path / "table"), by_load=True)
+    ledger = Ledger.open(spark, f"{database}.loads")
+    rows = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
+    whole = catalog.replace_load
+    with monkeypatch.context() as broken:
+        broken.setattr(catalog, "replace_load", lambda df, table, load: whole(df.limit(3), table, load))
+        with pytest.raises(LostRows, match="3 were taken"):
+            jobs.load_catalog_table(rows, name, rejects, LoadId("short"), ledger)
+        broken.setattr(catalog, "replace_load", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.load_catalog_table(rows, name, rejects, LoadId("dead"), ledger)
+    assert {(e.load_id, e.state) for e in ledger.unfinished().collect()} == {
+        ("short_0000000000", "short"), ("dead_0000000000", "begun")}
+    for source in ("short", "dead"):
+        jobs.load_catalog_table(rows, name, rejects, LoadId(source), ledger)
+    assert ledger.unfinished().count() == 0
+    with pytest.raises(ValueError, match="a ledger needs"):
+        jobs.load_catalog_table(rows, name, rejects, "plain", ledger)
+    with pytest.raises(ValueError, match="letters, digits"):
+        LoadId("a b")
+
+
+def test_rejects_of_loads_with_and_without_id_are_counted(spark, sf_dir, tmp_path, database):
+    name, rejects = f"{database}.products", str(tmp_path / "rejects")
+    rows = fx.derived(fx.table(spark, sf_dir, "orders"), fx.ORDER_PRODUCTS)
+    lost = rows.count() - jobs.checked_products(rows).accepted.count()
+    catalog.recreate_table(spark, name)
+    for _ in range(2):
+        jobs.load_catalog_table(rows, name, rejects)
+    catalog.recreate_table(spark, name, by_load=True)
+    for load in ("l1", "0000000001", "0000000001"):
+        jobs.load_catalog_table(rows, name, rejects, load)
+    counts = jobs.reject_counts(spark, rejects).groupBy(catalog.LOAD).agg(F.sum("row_count")).collect()
+    assert {tuple(row) for row in counts} == {(None, 2 * lost), ("l1", lost), ("0000000001", lost)}
+
+
 def test_paced_query_keeps_running(spark, captured, tmp_path):
     paced = Sink(str(tmp_path / "p" / "data"), str(tmp_path / "p" / "checkpoint"), interval="1 second", name="paced")
     query = append_changes(stream(spark, captured), paced)
