@@ -107,6 +107,11 @@ BROKEN_CHANGE = (
     "'\",\"review_count\":', CASE WHEN o_orderkey % 5 = 3 THEN '3000000000' ELSE '5' END, '}}}')"
 )
 
+# Where orders stand in a topic of four partitions, and those that expired unread: a stretch of
+# each thousand, and one of more than a bitmap's size.
+OFFSET = "cast(floor(o_orderkey / 4) AS bigint)"
+EXPIRED = f"({OFFSET} % 1000 < 40 OR o_orderkey % 4 = 2 AND {OFFSET} BETWEEN 1500 AND 1500 + 40000)"
+
 # Prices as text, some no numbers.
 TEXT_ORIGINAL = "CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE cast(p_retailprice AS string) END"
 TEXT_PRICE = "CASE WHEN p_partkey % 11 = 0 THEN '' ELSE cast(p_size AS string) END"

@@ -259,6 +259,14 @@ ORACLES: dict[str, str] = {
         f"max(discount) AS max_discount FROM {LINES} GROUP BY brand"
     ),
     "view_passthrough": STREAMED,
+    "topic_offset_gaps": (
+        "SELECT 'sales.public.products' AS topic, \"partition\", first_missing, last_missing, "
+        "last_missing - first_missing + 1 AS missing FROM ("
+        'SELECT "partition", coalesce(lag("offset") OVER (PARTITION BY "partition" ORDER BY "offset") + 1, 0) AS first_missing, '
+        '"offset" - 1 AS last_missing FROM ('
+        f"SELECT cast(o_orderkey % 4 AS integer) AS \"partition\", {fx.OFFSET} AS \"offset\" FROM orders WHERE NOT {fx.EXPIRED})) "
+        "WHERE first_missing <= last_missing"
+    ),
     "avro_schema_projection": (
         "SELECT " + ", ".join(
             f"cast({f.name} AS {_EVENT_CASTS[f.dataType.simpleString()]}) AS {f.name}"

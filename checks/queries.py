@@ -38,6 +38,7 @@ from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
 from sluiceway.sources.lake import read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
 from sluiceway.streaming.changes import Sink, append_changes, append_rejects, start_append, wait
+from sluiceway.streaming.offsets import trace_offsets, traced_gaps
 from sluiceway.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -552,6 +553,21 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.derived(fx.table(spark, sf_dir, "events"), fx.EVENT_PRODUCTS)
 
 
+@query
+def topic_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets that expired before a stream of four batches read them; every file holds the one before it again."""
+    path, trace = fresh_folder(spark), fresh_folder(spark)
+    orders = fx.table(spark, sf_dir, "orders").where(f"NOT {fx.EXPIRED}")
+    rows = fx.as_topic(orders.selectExpr("o_orderkey AS seq", "o_orderstatus AS value", "o_orderkey")).withColumns({
+        "offset": F.expr(fx.OFFSET.replace("o_orderkey", "cast(cast(key AS string) AS bigint)")),
+        "partition": F.expr("cast(cast(cast(key AS string) AS bigint) % 4 AS int)")})
+    for part in range(4):
+        rows.where(F.abs(F.hash("key")) % 5 <= part + 1).coalesce(1).write.mode("append").parquet(path)
+    wait(trace_offsets(
+        read_topic(spark, path=path, format="parquet", maxFilesPerTrigger="1"), trace, fresh_folder(spark)))
+    return traced_gaps(spark, trace, earliest=0)
+
+
 @query
 def avro_schema_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark)
