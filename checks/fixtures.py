@@ -112,6 +112,13 @@ BROKEN_CHANGE = (
 OFFSET = "cast(floor(o_orderkey / 4) AS bigint)"
 EXPIRED = f"({OFFSET} % 1000 < 40 OR o_orderkey % 4 = 2 AND {OFFSET} BETWEEN 1500 AND 1500 + 40000)"
 
+# A note of several lines, some blank, with quotes, commas and a carriage return.
+NOTE = (
+    "CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN concat('a \"b\"', chr(10), 'c,', cast(o_orderkey AS string)) "
+    "WHEN 2 THEN concat(repeat(concat('line', chr(10), chr(10)), cast(o_orderkey % 50 AS int)), '\"') "
+    "WHEN 3 THEN 'x, \"y\"' WHEN 4 THEN concat(o_orderpriority, chr(13), chr(10), o_orderstatus) ELSE o_orderpriority END"
+)
+
 # Prices as text, some no numbers.
 TEXT_ORIGINAL = "CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE cast(p_retailprice AS string) END"
 TEXT_PRICE = "CASE WHEN p_partkey % 11 = 0 THEN '' ELSE cast(p_size AS string) END"

@@ -137,6 +137,7 @@ ORACLES: dict[str, str] = {
         "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders "
         f"ORDER BY o_orderkey LIMIT {fx.LOAD_ROWS}"
     ),
+    "csv_multiline_records": f"SELECT o_orderkey, {fx.NOTE} AS note, o_totalprice FROM orders",
     "csv_sink_roundtrip": (
         f"SELECT {_columns('double', trim=True)} FROM {PARTS}"
     ),

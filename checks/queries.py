@@ -35,6 +35,7 @@ from sluiceway.schemas import (
 )
 from sluiceway.sources.avro_schema import read_avro_schema, to_avro_schema
 from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
+from sluiceway.sources.csv_records import read_csv_records
 from sluiceway.sources.lake import read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
 from sluiceway.streaming.changes import Sink, append_changes, append_rejects, start_append, wait
@@ -87,6 +88,14 @@ def csv_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_head(spark, path, fx.LOAD_ROWS, schema, order_by="o_orderkey")
 
 
+@query
+def csv_multiline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with line breaks, read in splits; blocks are small enough for records to cross them."""
+    notes = fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{fx.NOTE} AS note", "o_totalprice").coalesce(2)
+    path, schema = _csv_copy(spark, notes)
+    return read_csv_records(spark, path, schema)
+
+
 def _raw_file(spark: SparkSession, sf_dir: str) -> str:
     raw = fx.raw_products(fx.part_products(spark, sf_dir)).select(*RAW_ROW.names)
     return _csv_copy(spark, raw)[0]
