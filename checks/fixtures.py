@@ -140,6 +140,22 @@ EVENT_PRODUCTS = {
 }
 
 
+# Schemas of events by product id: of id 0 all fields, of id 1 an older one with fewer and narrower
+# fields, of id 2 a newer one with unions and another name. Id 3 has none.
+EVENT_SCHEMAS = {
+    "0": [("name", "string"), ("price", "float"), ("brand", ["null", "string"]), ("review_count", "int"), ("category", "string")],
+    "1": [("name", "string"), ("price", "int"), ("brand", ["null", "string"]), ("quantity_sold", "int")],
+    "2": [("name", "string"), ("price", ["int", "double"]), ("brand", ["null", "string"]), ("reviews", ["null", "int"]),
+          ("category", "string")],
+}
+EVENT_READER = [
+    {"name": "product_id", "type": "string"}, {"name": "name", "type": "string"}, {"name": "price", "type": "double"},
+    {"name": "brand", "type": ["null", "string"], "default": None},
+    {"name": "review_count", "type": ["null", "long"], "aliases": ["reviews"], "default": None},
+    {"name": "category", "type": "string", "default": "unknown"},
+]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

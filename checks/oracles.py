@@ -274,6 +274,18 @@ ORACLES: dict[str, str] = {
             for f in EVENT if f.name != "product_id"
         ) + f" FROM {PARTS}"
     ),
+    "event_schema_by_id": (
+        "SELECT cast(own AS varchar) AS product_id, name, cast(CASE own WHEN 0 THEN cast(price AS float) WHEN 1 THEN "
+        "trunc(price) ELSE price END AS double) AS price, brand, cast(CASE own WHEN 0 THEN review_count WHEN 2 THEN "
+        "CASE WHEN review_count % 3 > 0 THEN review_count END END AS bigint) AS review_count, "
+        "CASE WHEN own = 1 THEN 'unknown' ELSE category END AS category "
+        f"FROM (SELECT *, product_id % 4 AS own FROM {EVENTS}) WHERE own < 3 AND name IS NOT NULL AND price IS NOT NULL"
+    ),
+    "event_schema_rejects": (
+        "SELECT cast(own AS varchar) AS product_id, CASE WHEN own = 3 THEN 'no schema' ELSE 'null in price' END AS reason, "
+        f"count(*) AS row_count FROM (SELECT *, product_id % 4 AS own FROM {EVENTS}) "
+        "WHERE own = 3 OR price IS NULL GROUP BY ALL"
+    ),
     "envelope_encode": f"SELECT event_id, {_event_json()} AS value FROM {EVENTS}",
     "event_publish": f"SELECT 'product_input' AS topic, {_event_json()} AS value FROM {EVENTS}",
 }

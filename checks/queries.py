@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +20,7 @@ from sluiceway.functions.expressions import (
     text_to_bytes,
 )
 from sluiceway.operators import change_events as changes
-from sluiceway.operators import constraints, product_events, products
+from sluiceway.operators import constraints, event_schemas, product_events, products
 from sluiceway.plans import catalog, jobs
 from sluiceway.plans.ledger import Ledger
 from sluiceway.schemas import (
@@ -33,7 +34,7 @@ from sluiceway.schemas import (
     TABLE,
     TOPIC_ROW,
 )
-from sluiceway.sources.avro_schema import read_avro_schema, to_avro_schema
+from sluiceway.sources.avro_schema import Record, parse_record, read_avro_schema, to_avro_schema
 from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
 from sluiceway.sources.csv_records import read_csv_records
 from sluiceway.sources.lake import read_lake, write_lake
@@ -586,6 +587,35 @@ def avro_schema_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_events.project_fields(fx.part_products(spark, sf_dir), declared)
 
 
+def _events_of_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Record], Record]:
+    """Messages written by three schemas that are read from files, and what they are read by."""
+    path, fields = fresh_folder(spark), [{"name": "product_id", "type": "string"}]
+    for own, declared in fx.EVENT_SCHEMAS.items():
+        record = {"type": "record", "name": f"Products{own}", "fields": [
+            *fields, *({"name": name, "type": kind} for name, kind in declared)]}
+        spark.range(1, numPartitions=1).select(F.lit(json.dumps(record)).alias("value")).write.text(f"{path}/products_schema_{own}.avsc")
+    schemas = {}
+    for own in fx.EVENT_SCHEMAS:
+        schemas[own] = parse_record(spark.read.text(f"{path}/products_schema_{own}.avsc", wholetext=True).first()[0])
+    events = _events(spark, sf_dir).withColumns({
+        "product_id": F.col("product_id") % 4, "reviews": F.when(F.col("review_count") % 3 > 0, F.col("review_count"))})
+    messages = event_schemas.messages_by_id(events, schemas, event_time_text(F.col("ts")))
+    reader = parse_record(json.dumps({"type": "record", "name": "Read", "fields": fx.EVENT_READER}))
+    return messages, schemas, reader
+
+
+@query
+def event_schema_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_schemas.events_by_id(*_events_of_ids(spark, sf_dir))
+
+
+@query
+def event_schema_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of an id without a schema, and those whose value was null where a value is due."""
+    rejected = event_schemas.rejected_events(*_events_of_ids(spark, sf_dir))
+    return rejected.groupBy(F.col("key").cast("string").alias("product_id"), "reason").agg(F.count("*").alias("row_count"))
+
+
 @query
 def envelope_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select(
