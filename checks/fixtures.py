@@ -119,6 +119,19 @@ NOTE = (
     "WHEN 3 THEN 'x, \"y\"' WHEN 4 THEN concat(o_orderpriority, chr(13), chr(10), o_orderstatus) ELSE o_orderpriority END"
 )
 
+# Change messages with planted fields: a name that no schema has, an object with a list, a count as
+# text or with decimals, a price as a number, an object for a brand; some are deletes, null or broken.
+FIELD_CHANGE = (
+    "CASE WHEN p_partkey % 20 = 11 THEN NULL WHEN p_partkey % 20 = 12 THEN '{bad' "
+    "WHEN p_partkey % 20 = 13 THEN '{\"payload\":{\"op\":\"d\",\"before\":{\"id\":\"1\"},\"after\":null}}' "
+    "ELSE concat('{\"payload\":{\"op\":\"c\",\"after\":{\"id\":\"', cast(p_partkey AS string), '\"', "
+    "CASE WHEN p_partkey % 5 = 0 THEN ',\"colour\":\"red\"' ELSE '' END, "
+    "CASE WHEN p_partkey % 7 = 0 THEN ',\"maker\":{\"tags\":[1,2,\"x\"],\"none\":{}}' ELSE '' END, "
+    "',\"review_count\":', CASE p_partkey % 3 WHEN 0 THEN '\"3\"' WHEN 1 THEN '2.5' ELSE '4' END, "
+    "',\"price\":', CASE WHEN p_partkey % 4 = 0 THEN '7' ELSE '\"nA==\"' END, "
+    "',\"brand\":', CASE WHEN p_partkey % 9 = 0 THEN '{\"en\":\"b\"}' ELSE 'null' END, '}}}') END"
+)
+
 # Prices as text, some no numbers.
 TEXT_ORIGINAL = "CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE cast(p_retailprice AS string) END"
 TEXT_PRICE = "CASE WHEN p_partkey % 11 = 0 THEN '' ELSE cast(p_size AS string) END"

@@ -123,6 +123,38 @@ def _event_json() -> str:
     )
 
 
+def _census() -> str:
+    """Counts of the planted fields; declared ones that no message has count 0."""
+    image = "p_partkey % 20 NOT IN (11, 12, 13)"
+    whole = "p_partkey % 20 <> 11 AND p_partkey % 20 <> 12"
+    after = "payload.after."
+    planted = [
+        ("", "tombstone", "p_partkey % 20 = 11", None, "tombstone"), ("", "malformed", "p_partkey % 20 = 12", None, "malformed"),
+        ("payload.op", "STRING", whole, "string", "declared"), ("payload.before.id", "STRING", "p_partkey % 20 = 13", "string", "declared"),
+        ("payload.after", "VOID", "p_partkey % 20 = 13", None, "declared"), (f"{after}id", "STRING", image, "string", "declared"),
+        (f"{after}colour", "STRING", f"{image} AND p_partkey % 5 = 0", None, "extra"),
+        (f"{after}maker.tags.[]", "BIGINT", f"{image} AND p_partkey % 7 = 0", None, "extra"),
+        (f"{after}maker.tags.[]", "STRING", f"{image} AND p_partkey % 7 = 0", None, "extra"),
+        (f"{after}maker.none", "OBJECT<>", f"{image} AND p_partkey % 7 = 0", None, "extra"),
+        (f"{after}review_count", "STRING", f"{image} AND p_partkey % 3 = 0", "int", "mistyped"),
+        (f"{after}review_count", "DECIMAL(2,1)", f"{image} AND p_partkey % 3 = 1", "int", "mistyped"),
+        (f"{after}review_count", "BIGINT", f"{image} AND p_partkey % 3 = 2", "int", "declared"),
+        (f"{after}price", "BIGINT", f"{image} AND p_partkey % 4 = 0", "string", "mistyped"),
+        (f"{after}price", "STRING", f"{image} AND p_partkey % 4 <> 0", "string", "declared"),
+        (f"{after}brand.en", "STRING", f"{image} AND p_partkey % 9 = 0", None, "deeper"),
+        (f"{after}brand", "VOID", f"{image} AND p_partkey % 9 <> 0", "string", "declared"),
+    ]
+    seen = {row[0] for row in planted}
+    counts = {"review_count": "int", "favourite_count": "int", "number_of_images": "int", "quantity_sold": "int"}
+    rows = [
+        f"SELECT '{path}' AS path, '{kind}' AS type, count(*) * {2 if kind == 'BIGINT' and 'tags' in path else 1} AS occurrences, "
+        f"{f"'{declared}'" if declared else 'NULL::VARCHAR'} AS declared, '{status}' AS status FROM part WHERE {condition}"
+        for path, kind, condition, declared, status in planted]
+    rows += [f"SELECT '{after}{name}', NULL, 0, '{counts.get(name, 'string')}', 'unseen'"
+             for name in PRODUCT_COLUMNS if f"{after}{name}" not in seen]
+    return " UNION ALL ".join(rows)
+
+
 _EVENT_CASTS = {"string": "varchar", "float": "float", "int": "integer"}
 _CUT_LINES = _discount("l_extendedprice", "(l_extendedprice * (1 - l_discount))")
 
@@ -260,6 +292,7 @@ ORACLES: dict[str, str] = {
         f"max(discount) AS max_discount FROM {LINES} GROUP BY brand"
     ),
     "view_passthrough": STREAMED,
+    "cdc_field_census": _census(),
     "topic_offset_gaps": (
         "SELECT 'sales.public.products' AS topic, \"partition\", first_missing, last_missing, "
         "last_missing - first_missing + 1 AS missing FROM ("

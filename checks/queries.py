@@ -20,7 +20,7 @@ from sluiceway.functions.expressions import (
     text_to_bytes,
 )
 from sluiceway.operators import change_events as changes
-from sluiceway.operators import constraints, event_schemas, product_events, products
+from sluiceway.operators import constraints, event_schemas, field_census, product_events, products
 from sluiceway.plans import catalog, jobs
 from sluiceway.plans.ledger import Ledger
 from sluiceway.schemas import (
@@ -563,6 +563,15 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.derived(fx.table(spark, sf_dir, "events"), fx.EVENT_PRODUCTS)
 
 
+@query
+def cdc_field_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the messages hold, by path and type, against the declared change message; two batches added up."""
+    parts = fx.table(spark, sf_dir, "part")
+    halves = [fx.as_topic(parts.where(f"p_partkey % 2 = {half}").selectExpr("p_partkey AS seq", f"{fx.FIELD_CHANGE} AS value"))
+              for half in (0, 1)]
+    return field_census.against_schema(field_census.added(*map(field_census.field_census, halves)))
+
+
 @query
 def topic_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offsets that expired before a stream of four batches read them; every file holds the one before it again."""
