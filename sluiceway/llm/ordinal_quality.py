@@ -5,8 +5,8 @@ statistics of the whole. One weight per feature is shared by all grades; ordered
 thresholds cut the weighted sum, so that P(grade <= k) = s(threshold_k - sum) with the
 logistic function s. Selection uses the expected grade or a tail probability.
 
-Training uses a bounded sample of rated rows on the driver (``Recipe``); every word of
-every text is scored where the text is read.
+Training uses a bounded sample of rated rows on the driver (``Recipe``), in which a very long
+text is a fixed number of random pieces; every word of every text is scored where it is read.
 
 Defined results: null, blank and empty texts have the statistics of an empty text only.
 Without ratings of two grades every document has the grade that was seen, or grade 0.
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import drawn_weights, free_name, text_of
+from sluiceway.llm.shared import drawn_weights, excerpt, free_name, held_out, text_of
 
 BLOCK_CHARS = 4_000_000
 SCALE = 10.0  # of the means, so that weights stay small
@@ -38,7 +38,8 @@ class Recipe:
     grades: int = 3
     bits: int = 16
     rows: int = 1500  # rated rows of each grade that training sees at most
-    longest: int = 200_000  # bytes of a training text at most
+    longest: int = 65_536  # bytes of a training text at most; of longer ones so many random pieces are taken
+    pieces: int = 16
     steps: int = 150
     rate: float = 0.05
     shrink: float = 1e-4
@@ -68,7 +69,7 @@ def word_features(word: bytes, mask: int) -> tuple[int, int, int]:
     return (
         xxhash.xxh3_64_intdigest(word.lower(), 1) & mask,
         xxhash.xxh3_64_intdigest(word[-3:], 2) & mask,
-        xxhash.xxh3_64_intdigest(shape[:24], 3) & mask,
+        xxhash.xxh3_64_intdigest(shape, 3) & mask,
     )
 
 
@@ -203,11 +204,6 @@ def fit(
     return model
 
 
-def held_out(doc_id: Column) -> Column:
-    """Rows whose ratings are not learnt from."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 def learnable(ratings: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", grade: str = "grade") -> DataFrame:
     """One grade per document, without those held out."""
     rated = ratings.where(F.col(grade).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
@@ -224,7 +220,7 @@ def grade_counts(ratings: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id",
 def training_sample(
     docs: DataFrame, ratings: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", text: str = "text", grade: str = "grade",
 ) -> tuple[list[str], list[int]]:
-    """At most ``rows`` rated texts of each grade, drawn by a hash of their id."""
+    """At most ``rows`` rated texts of each grade and of ``longest`` bytes, drawn by a hash of their id."""
     learnt = learnable(ratings, recipe, doc_id=doc_id, grade=grade).withColumn(
         "_draw", F.xxhash64(F.col("_id"), F.lit(recipe.seed)))
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("_text"))
@@ -233,7 +229,8 @@ def training_sample(
     for kind in range(recipe.grades):
         # Ids are drawn from the ratings first: at most `rows` of them are broadcast.
         ids = learnt.where(F.col("_grade") == kind).orderBy("_draw", "_id").limit(recipe.rows)
-        part = rows.join(F.broadcast(ids), "_id").where(F.octet_length("_text") <= recipe.longest)
+        part = rows.join(F.broadcast(ids), "_id").withColumn(
+            "_text", excerpt(F.col("_text"), F.col("_id"), recipe.longest, recipe.pieces, recipe.seed))
         found = [row["_text"] for row in part.orderBy("_draw", "_id", "_text").limit(recipe.rows).select("_text").collect()]
         texts += found
         grades += [kind] * len(found)

@@ -47,6 +47,27 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows whose labels are not learnt from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def excerpt(text: Column, key: Column, longest: int, pieces: int, seed: int) -> Column:
+    """A text of at most ``longest`` bytes: the text itself, or as many random ``pieces`` of a longer one.
+
+    Pieces begin at places drawn by a hash of ``key``, have equal numbers of characters and lose
+    words that they cut; each is a line of the result.
+    """
+    size = longest // (4 * pieces) - 1  # a character takes up to four bytes
+    room = F.greatest(F.length(text) - size, F.lit(1))
+    cut = F.array_join(F.array(*(
+        F.regexp_replace(
+            F.substring(text, F.pmod(F.xxhash64(key, F.lit(seed), F.lit(piece)), room).cast("int") + 1, F.lit(size)),
+            rf"^{WORD}|{WORD}$", "")
+        for piece in range(pieces))), "\n")
+    return F.when(F.octet_length(text) <= longest, text).otherwise(cut)
+
+
 def with_rank(df: DataFrame, keys: Sequence[str], group: str | None = None, rank: str = "rank") -> DataFrame:
     """Number rows from 0 by ``keys``, within each value of the non-null column ``group``.
 

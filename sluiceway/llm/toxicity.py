@@ -6,8 +6,10 @@ and one backward, attention weights the states, and a linear layer gives a logit
 document scores as its most toxic window, so training is on the windows that score highest
 now (multiple-instance learning). Everything is numpy.
 
-Training uses a bounded sample of labelled rows on the driver (``Recipe``); every window
-of every text is scored where the text is read.
+Training uses a bounded sample of labelled rows on the driver (``Recipe``), in which a very long
+text is a fixed number of random pieces; every window of every text is scored where the text
+is read. Half of a window is in the next one, so a passage of up to ``window - stride + 1``
+words is seen whole.
 
 Defined results: null, blank and empty texts have no window and get the score of an empty
 one. Without labels of both kinds every score is the share of toxic labels, or 0 without
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import drawn_weights, free_name, text_of
+from sluiceway.llm.shared import drawn_weights, excerpt, free_name, held_out, text_of
 
 #: Not part of a word's form.
 EDGES = b".,;:!?\"'()[]{}"
@@ -38,14 +40,15 @@ class Recipe:
     """Size of the network and bounds of the training sample."""
 
     window: int = 64
-    stride: int = 48
+    stride: int = 32
     inputs: int = 16
     hidden: int = 8
     word_bits: int = 14
     gram_bits: int = 15
     toxic_rows: int = 1000  # labelled rows of either kind that training sees at most
     clean_rows: int = 2000
-    longest: int = 200_000  # bytes of a training text at most
+    longest: int = 65_536  # bytes of a training text at most; of longer ones so many random pieces are taken
+    pieces: int = 16
     rounds: int = 8
     batch: int = 96
     rate: float = 0.01
@@ -249,7 +252,7 @@ def coded_texts(texts: Sequence[str], recipe: Recipe) -> tuple[Words, np.ndarray
     return words, np.concatenate(rows), np.concatenate(owners)
 
 
-def window_logits(network: Network, words: Words, windows: np.ndarray, chunk: int = 4096) -> np.ndarray:
+def window_logits(network: Network, words: Words, windows: np.ndarray, chunk: int = 2048) -> np.ndarray:
     tables = network.gate_inputs(network.vectors(words))
     parts = [network.run(tables, np.ascontiguousarray(windows[i : i + chunk].T)) for i in range(0, len(windows), chunk)]
     return np.concatenate(parts) if parts else np.zeros(0, np.float32)
@@ -361,11 +364,6 @@ def fit(
     return network
 
 
-def held_out(doc_id: Column) -> Column:
-    """Rows whose labels are not learnt from."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 def learnable(labels: DataFrame, *, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
     """One label per document, without those held out."""
     marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
@@ -382,7 +380,7 @@ def class_counts(labels: DataFrame, *, doc_id: str = "doc_id", label: str = "tox
 def training_sample(
     docs: DataFrame, labels: DataFrame, recipe: Recipe, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> tuple[list[str], list[int]]:
-    """At most ``toxic_rows`` and ``clean_rows`` labelled texts, drawn by a hash of their id."""
+    """At most ``toxic_rows`` and ``clean_rows`` labelled texts of ``longest`` bytes, drawn by a hash of their id."""
     learnt = learnable(labels, doc_id=doc_id, label=label).withColumn("_draw", F.xxhash64(F.col("_id"), F.lit(recipe.seed)))
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("_text"))
     texts: list[str] = []
@@ -390,7 +388,8 @@ def training_sample(
     for kind, most in ((1, recipe.toxic_rows), (0, recipe.clean_rows)):
         # Ids are drawn from the labels first: at most `most` of them are broadcast.
         ids = learnt.where(F.col("_label") == kind).orderBy("_draw", "_id").limit(most)
-        part = rows.join(F.broadcast(ids), "_id").where(F.octet_length("_text") <= recipe.longest)
+        part = rows.join(F.broadcast(ids), "_id").withColumn(
+            "_text", excerpt(F.col("_text"), F.col("_id"), recipe.longest, recipe.pieces, recipe.seed))
         found = [row["_text"] for row in part.orderBy("_draw", "_id", "_text").limit(most).select("_text").collect()]
         texts += found
         kinds += [kind] * len(found)
