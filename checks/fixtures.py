@@ -132,6 +132,12 @@ FIELD_CHANGE = (
     "',\"brand\":', CASE WHEN p_partkey % 9 = 0 THEN '{\"en\":\"b\"}' ELSE 'null' END, '}}}') END"
 )
 
+# A key of which a third is one value, a seventh is null and the rest grows with the fourth power.
+SKEWED_KEY = (
+    "CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_linenumber = 7 THEN NULL "
+    "ELSE cast(l_quantity * l_quantity * l_quantity * l_quantity AS bigint) * 1000 + l_partkey % 1000 END"
+)
+
 # Prices as text, some no numbers.
 TEXT_ORIGINAL = "CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE cast(p_retailprice AS string) END"
 TEXT_PRICE = "CASE WHEN p_partkey % 11 = 0 THEN '' ELSE cast(p_size AS string) END"

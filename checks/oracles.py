@@ -293,6 +293,25 @@ ORACLES: dict[str, str] = {
     ),
     "view_passthrough": STREAMED,
     "cdc_field_census": _census(),
+    "cdc_routed_rows": STREAMED,
+    "cdc_routed_rejects": (
+        "SELECT cast(seq AS varchar) AS key, CASE seq % 10 WHEN 7 THEN '{bad' WHEN 9 THEN "
+        "json_object('payload', json_object('before', json_object('id', id), 'op', 'd'))::varchar END AS value, "
+        f"{KIND} AS kind FROM {PARTS} WHERE NOT ({HAS_IMAGE})"
+    ),
+    "lake_digest_parity": (
+        f"WITH kept AS (SELECT id, brand, seq FROM {PARTS} WHERE {HAS_IMAGE}), "
+        "lost AS (SELECT brand FROM kept ORDER BY seq LIMIT 1), twice AS (SELECT brand FROM kept ORDER BY seq DESC LIMIT 1), "
+        "sizes AS (SELECT brand, count(*) AS n FROM kept GROUP BY brand) "
+        "SELECT brand, n AS left_rows, n - (SELECT count(*) FROM lost WHERE lost.brand IS NOT DISTINCT FROM sizes.brand) "
+        "+ (SELECT count(*) FROM twice WHERE twice.brand IS NOT DISTINCT FROM sizes.brand) AS right_rows, 'damaged' AS table "
+        "FROM sizes WHERE EXISTS (SELECT 1 FROM (SELECT * FROM lost UNION ALL SELECT * FROM twice) x "
+        "WHERE x.brand IS NOT DISTINCT FROM sizes.brand)"
+    ),
+    "split_predicates": "SELECT count(*) AS row_count, 0::BIGINT AS rows_not_in_one, true AS even FROM lineitem",
+    "lake_dynamic_prune": (
+        f"SELECT id, price, brand FROM {LINES} JOIN nation ON brand = concat('Brand#', n_nationkey) WHERE n_regionkey = 1"
+    ),
     "topic_offset_gaps": (
         "SELECT 'sales.public.products' AS topic, \"partition\", first_missing, last_missing, "
         "last_missing - first_missing + 1 AS missing FROM ("

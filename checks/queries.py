@@ -37,9 +37,19 @@ from sluiceway.schemas import (
 from sluiceway.sources.avro_schema import Record, parse_record, read_avro_schema, to_avro_schema
 from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
 from sluiceway.sources.csv_records import read_csv_records
-from sluiceway.sources.lake import read_lake, write_lake
+from sluiceway.sources import splits
+from sluiceway.sources.lake import differing_partitions, read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
-from sluiceway.streaming.changes import Sink, append_changes, append_rejects, start_append, wait
+from sluiceway.streaming.changes import (
+    Sink,
+    append_changes,
+    append_rejects,
+    append_routed,
+    routed_rejects,
+    routed_table,
+    start_append,
+    wait,
+)
 from sluiceway.streaming.offsets import trace_offsets, traced_gaps
 from sluiceway.streaming.replay import replay
 
@@ -563,6 +573,64 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.derived(fx.table(spark, sf_dir, "events"), fx.EVENT_PRODUCTS)
 
 
+@query
+def cdc_routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's part of a location that one stream fills with rows and rejects."""
+    return routed_table(spark, _routed(spark, sf_dir))
+
+
+@query
+def cdc_routed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routed_rejects(spark, _routed(spark, sf_dir)).select(
+        bytes_to_text(F.col("key")).alias("key"), bytes_to_text(F.col("value")).alias("value"), "kind")
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> str:
+    sink = _sink(spark)
+    wait(append_routed(read_topic(spark, path=_captured(spark, _part_changes(spark, sf_dir)), format="parquet"), sink))
+    return sink.path
+
+
+@query
+def lake_digest_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions in which a streamed table differs from the batch: one row was lost, one came twice."""
+    topic = _part_changes(spark, sf_dir)
+    sink = _sink(spark)
+    _append(spark, _captured(spark, topic), sink)
+    batch, streamed = changes.table_rows(topic), read_lake(spark, sink.path)
+    lost, twice = (streamed.agg(F.min_by("id", F.struct(F.length("id"), "id")), F.max_by("id", F.struct(F.length("id"), "id"))).first())
+    damaged = streamed.where(F.col("id") != lost).unionByName(streamed.where(F.col("id") == twice))
+    whole = differing_partitions(batch, streamed).withColumn("table", F.lit("streamed"))
+    return whole.unionByName(differing_partitions(batch, damaged).withColumn("table", F.lit("damaged")))
+
+
+@query
+def split_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen splits of a skewed key with nulls: how many rows meet none or several, and whether they are even."""
+    parts = 16
+    name = f"{_database(spark)}.lines"
+    lines = fx.table(spark, sf_dir, "lineitem").selectExpr(f"{fx.SKEWED_KEY} AS k", "l_orderkey * 8 + l_linenumber AS line")
+    lines.write.option("path", fresh_folder(spark)).saveAsTable(name)
+    table = spark.table(name)
+    predicates = splits.split_predicates(table, "k", parts, second="line")
+    met = [F.when(F.expr(one), 1).otherwise(0) for one in predicates]
+    hits = F.array(*met)
+    counts = F.array(*(F.sum(one) for one in met))
+    return table.agg(
+        F.count("*").alias("row_count"),
+        F.count(F.when(F.aggregate(hits, F.lit(0), lambda a, b: a + b) != 1, 1)).alias("rows_not_in_one"),
+        (F.array_max(counts) <= 1.2 * F.count("*") / parts).alias("even"),
+    )
+
+
+@query
+def lake_dynamic_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of brands that a filtered table names; only their partitions are read."""
+    name = _written_table(spark, fx.line_products(spark, sf_dir))
+    brands = fx.table(spark, sf_dir, "nation").selectExpr("concat('Brand#', n_nationkey) AS named", "n_regionkey")
+    return spark.table(name).join(brands.where("n_regionkey = 1"), F.col("brand") == F.col("named")).select("id", "price", "brand")
+
+
 @query
 def cdc_field_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the messages hold, by path and type, against the declared change message; two batches added up."""

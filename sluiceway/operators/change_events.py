@@ -116,3 +116,15 @@ def rejects(topic: DataFrame, signed: bool = True) -> DataFrame:
     """All other messages, whole, with their kind."""
     message = F.array(F.struct("kind", "message.*"))
     return checked_images(topic, signed).select(F.inline(F.when(F.col("kind") != ROW, message)))
+
+
+def routed_rows(topic: DataFrame, signed: bool = True) -> DataFrame:
+    """Every message once, by ``kind``: rows with their columns, all others with the whole message.
+
+    One parse feeds both. Columns that a kind does not have are null, which Parquet
+    stores in next to nothing.
+    """
+    checked = checked_images(topic, signed)
+    kept = F.when(F.col("kind") != ROW, F.col("message")).alias("message")
+    columns = (F.when(F.col("kind") == ROW, F.col(name)).alias(name) for name in PRODUCT_COLUMNS)
+    return checked.select("kind", *columns, kept)

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from sluiceway.operators.change_events import rejects, table_rows
-from sluiceway.schemas import PARTITION_COLUMN
-from sluiceway.sources.lake import gathered, write_lake
+from sluiceway.operators.change_events import ROW, rejects, routed_rows, table_rows
+from sluiceway.schemas import LAKE_ROW, PARTITION_COLUMN, TOPIC_ROW
+from sluiceway.sources.lake import gathered, read_lake, write_lake
+
+ROUTED_BY = ("kind", PARTITION_COLUMN)
+ROUTED_ROW = StructType([
+    *LAKE_ROW.fields, StructField("message", TOPIC_ROW), StructField("kind", StringType())])
 
 
 @dataclass(frozen=True)
@@ -34,17 +41,18 @@ class Sink:
     options: dict[str, str] = field(default_factory=dict)
 
 
-def start_append(df: DataFrame, sink: Sink, partition_by: str | None = None) -> StreamingQuery:
+def start_append(df: DataFrame, sink: Sink, partition_by: str | Sequence[str] | None = None) -> StreamingQuery:
     """Append a streaming frame to a sink, each row once across restarts."""
-    rows = gathered(df, partition_by) if partition_by and sink.gather else df
+    by = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+    rows = gathered(df, *by) if by and sink.gather else df
     writer = (
         rows.writeStream.format(sink.format)
         .outputMode("append")
         .option("checkpointLocation", sink.checkpoint)
         .options(**sink.options)
     )
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    if by:
+        writer = writer.partitionBy(*by)
     if sink.name:
         writer = writer.queryName(sink.name)
     if sink.until_caught_up:
@@ -72,6 +80,30 @@ def append_rejects(topic: DataFrame, sink: Sink) -> StreamingQuery | None:
     return _append(rejects(topic), sink, "kind")
 
 
+def append_routed(topic: DataFrame, sink: Sink, signed: bool = True) -> StreamingQuery | None:
+    """Rows and rejects by one parse and one commit, to one location partitioned by kind and brand.
+
+    ``append_changes`` and ``append_rejects`` parse each message once for either sink, and a job can
+    die with one of them ahead. Here a batch is there with all its kinds or not at all;
+    ``routed_table`` and ``routed_rejects`` read one part, pruned by partition.
+    """
+    rows = routed_rows(topic, signed)
+    if not rows.isStreaming:
+        write_lake(rows, sink.path, sink.format, "append", ROUTED_BY, sink.gather)
+        return None
+    return start_append(rows, sink, ROUTED_BY)
+
+
+def routed_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """Rows of a routed location, as ``read_lake`` gives those of a table of their own."""
+    return read_lake(spark, path, format, ROUTED_ROW).where(F.col("kind") == ROW).select(*LAKE_ROW.names)
+
+
+def routed_rejects(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """All other messages, whole, with their kind."""
+    return read_lake(spark, path, format, ROUTED_ROW).where(F.col("kind") != ROW).select("message.*", "kind")
+
+
 def _append(rows: DataFrame, sink: Sink, partition_by: str) -> StreamingQuery | None:
     if rows.isStreaming:
         return start_append(rows, sink, partition_by)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import fixtures as fx
+from checks.queries import QUERIES
 from sluiceway.plans import catalog
 from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS, plain
 from sluiceway.sources.lake import read_lake, write_lake
@@ -151,3 +152,12 @@ def test_recreated_table_by_load_stays_empty(spark, database, tmp_path, settings
     catalog.refresh_table(spark, name)
     assert spark.table(name).count() == 0
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def test_joined_table_prunes_partitions_at_run_time(spark, sf_dir, plan):
+    found = QUERIES["lake_dynamic_prune"](spark, sf_dir)
+    brands = spark.read.parquet(f"{sf_dir}/nation.parquet").where("n_regionkey = 1").count()
+    assert found.select("brand").distinct().count() == brands
+    found.collect()
+    final = plan(found).split("== Physical Plan ==")[1].split("Initial Plan")[0]
+    assert "PartitionFilters: [isnotnull(brand" in final and "dynamicpruning" in final

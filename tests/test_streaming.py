@@ -5,12 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from sluiceway.operators import change_events as changes
 from sluiceway.plans import catalog, jobs
 from sluiceway.plans.ledger import Ledger, LoadId, LostRows
 from sluiceway.schemas import LAKE_ROW, PRODUCT_COLUMNS, REJECT_ROW, TOPIC_ROW
-from sluiceway.sources.lake import read_lake, write_lake
+from sluiceway.sources.lake import differing_partitions, read_lake, write_lake
 from sluiceway.sources.topic import read_topic, write_topic
-from sluiceway.streaming.changes import Sink, append_changes, start_append, wait
+from sluiceway.streaming.changes import Sink, append_changes, append_routed, routed_rejects, routed_table, start_append, wait
 from sluiceway.streaming.replay import replay
 
 
@@ -208,6 +209,47 @@ def test_rejects_of_loads_with_and_without_id_are_counted(spark, sf_dir, tmp_pat
     assert {tuple(row) for row in counts} == {(None, 2 * lost), ("l1", lost), ("0000000001", lost)}
 
 
+def test_routed_sink_parses_once_and_holds_both_parts(spark, captured, sink, tmp_path):
+    topic = read_topic(spark, path=captured, format="parquet", streaming=False)
+    target = sink("routed")
+    query = append_routed(stream(spark, captured, maxFilesPerTrigger="1"), target)
+    wait(query, timeout=300)
+    plan = query._jsq.explainInternal(False).split("Initial Plan")[0]
+    assert plan.count("from_json(") == 1 and plan.count("FileScan") == 1 and "EvalPython" not in plan
+    wait(append_routed(stream(spark, captured), target), timeout=300)  # nothing twice
+    rows, rejects = routed_table(spark, target.path), routed_rejects(spark, target.path)
+    assert differing_partitions(changes.table_rows(topic), rows).count() == 0
+    assert differing_partitions(changes.rejects(topic), rejects, "kind").count() == 0
+    assert rows.count() + rejects.count() == topic.count()
+
+
+def test_routed_batch_that_died_between_kinds_is_made_again(spark, captured, sink):
+    """Files of a batch that has no commit are not read; the next run makes the batch anew."""
+    target = sink("died")
+    wait(append_routed(stream(spark, captured, maxFilesPerTrigger="1"), target), timeout=300)
+    whole = routed_table(spark, target.path).count(), routed_rejects(spark, target.path).count()
+    last = max((Path(target.path) / "_spark_metadata").glob("[0-9]*"), key=lambda one: int(one.name.split(".")[0]))
+    for folder in (last.parent, Path(target.checkpoint) / "commits"):
+        for one in (last.name, f".{last.name}.crc"):
+            (folder / one).unlink()
+    assert routed_table(spark, target.path).count() < whole[0]
+    wait(append_routed(stream(spark, captured, maxFilesPerTrigger="1"), target), timeout=300)
+    assert (routed_table(spark, target.path).count(), routed_rejects(spark, target.path).count()) == whole
+
+
+def test_digests_find_what_counts_miss(spark):
+    rows = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", 3, "y"), (None, 4, "z"), (None, 4, "z")], "brand string, n int, t string")
+    assert differing_partitions(rows, rows.repartition(3).orderBy(F.rand(1))).count() == 0
+    moved = rows.withColumn("n", F.when(F.col("n") == 2, 1).when(F.col("n") == 1, 2).otherwise(F.col("n")))
+    assert [tuple(row) for row in differing_partitions(rows, moved).collect()] == [("a", 2, 2)]
+    assert [tuple(row) for row in differing_partitions(rows, rows.distinct()).collect()] == [(None, 2, 1)]
+    swapped = rows.select("brand", "n", F.when(F.col("n") == 3, None).otherwise(F.col("t")).alias("t"))
+    assert differing_partitions(rows, swapped).count() == 1
+    assert differing_partitions(rows, rows.limit(0)).count() == 3
+    with pytest.raises(ValueError, match="columns differ"):
+        differing_partitions(rows, rows.drop("t"))
+
+
 def test_paced_query_keeps_running(spark, captured, tmp_path):
     paced = Sink(str(tmp_path / "p" / "data"), str(tmp_path / "p" / "checkpoint"), interval="1 second", name="paced")
     query = append_changes(stream(spark, captured), paced)
