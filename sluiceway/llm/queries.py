@@ -28,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LAW = "rows"
+BITS = 6
 
 
 def query(run: Query) -> Query:
@@ -71,7 +72,8 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = hilbert_shards.assign(documents(spark, sf_dir), hilbert_shards.metadata_dimensions())
+    docs, levels = hilbert_shards.with_levels(documents(spark, sf_dir), bits=BITS)
+    placed = hilbert_shards.assign(docs, levels, bits=BITS)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "curve")
