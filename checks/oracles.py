@@ -309,6 +309,10 @@ ORACLES: dict[str, str] = {
         "WHERE x.brand IS NOT DISTINCT FROM sizes.brand)"
     ),
     "split_predicates": "SELECT count(*) AS row_count, 0::BIGINT AS rows_not_in_one, true AS even FROM lineitem",
+    "lake_compacted": (
+        "SELECT brand, count(*) AS row_count, cast(sum(price) AS decimal(20,2)) AS total_price, true AS one_file "
+        f"FROM ({STREAMED}) GROUP BY brand"
+    ),
     "lake_dynamic_prune": (
         f"SELECT id, price, brand FROM {LINES} JOIN nation ON brand = concat('Brand#', n_nationkey) WHERE n_regionkey = 1"
     ),

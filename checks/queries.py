@@ -21,7 +21,7 @@ from sluiceway.functions.expressions import (
 )
 from sluiceway.operators import change_events as changes
 from sluiceway.operators import constraints, event_schemas, field_census, product_events, products
-from sluiceway.plans import catalog, jobs
+from sluiceway.plans import catalog, compaction, jobs
 from sluiceway.plans.ledger import Ledger
 from sluiceway.schemas import (
     DECIMAL_COLUMNS,
@@ -623,6 +623,22 @@ def split_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of many small files, streamed in eight batches, packed into few and shown by its view."""
+    sink = _sink(spark)
+    path = fresh_folder(spark)
+    _part_changes(spark, sf_dir).repartition(8).write.parquet(path)
+    wait(append_changes(read_topic(spark, path=path, format="parquet", maxFilesPerTrigger="1"), sink))
+    view = f"{_database(spark)}.products"
+    version = compaction.publish_compacted(spark, view, sink.path, fresh_folder(spark), target_bytes=1 << 20)
+    files = spark.table(version).select("brand", "_metadata.file_path").distinct().groupBy("brand").count()
+    most = files.agg(F.max("count").alias("most_files"))
+    rows = spark.table(view).groupBy("brand").agg(F.count("*").alias("row_count"), F.sum("price").cast("decimal(20,2)").alias("total_price"))
+    few = F.broadcast(most.select((F.col("most_files") == 1).alias("one_file")))  # a single row
+    return rows.join(few, F.lit(True), "left")
+
+
 @query
 def lake_dynamic_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of brands that a filtered table names; only their partitions are read."""
