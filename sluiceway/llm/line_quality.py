@@ -35,7 +35,7 @@ BOILERPLATE = (
     "log in to", "skip to content", "powered by wordpress",
 )
 
-# The like in the other languages of the corpus; the SQL has the English ones only.
+# The like in the other languages of the corpus.
 BOILERPLATE_ELSEWHERE = (
     "sous licence", "tous droits réservés", "conditions d'utilisation", "conditions d’utilisation",
     "politique de confidentialité", "accepter les cookies", "activer javascript", "cliquez ici",

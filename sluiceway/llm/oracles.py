@@ -6,7 +6,7 @@ DuckDB lacks (5) and byte pair merges (6, 9).
 
 from __future__ import annotations
 
-from sluiceway.llm.line_quality import BOILERPLATE
+from sluiceway.llm.line_quality import BOILERPLATE, BOILERPLATE_ELSEWHERE, SEPARATORS
 
 _BLANK = r"'[\x20\x09-\x0D]'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -37,17 +37,32 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, digest AS text_sha256 FROM ranked
 """
 
+_PHRASES = "|".join(BOILERPLATE + BOILERPLATE_ELSEWHERE).replace("'", "''")
+_LONE = ", ".join(f"'{one.decode()}'" for one in sorted(SEPARATORS))
+
 OP4 = f"""
 WITH base AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM base),
 filled AS (SELECT *, {_solid('line')} AS solid FROM lines WHERE {_solid('line')} > 0),
-judged AS (
-  SELECT *, 100 * {_symbols('line')} > 10 * length(line)
-         OR 100 * {_count('line', '!')} >= 50 * len(regexp_extract_all(line, {_WORD}))
-         OR {_count('line', '|')} + {_count('line', '»')} >= 3
-         OR regexp_matches(lower(line), '{'|'.join(BOILERPLATE)}') AS fails
+parts AS (
+  SELECT *, regexp_extract_all(line, {_WORD}) AS w, {_symbols('line')} AS symbols,
+         len(regexp_extract_all(line, '[\\p{{P}}\\p{{S}}]')) AS marks,
+         {_count('line', '|')} + greatest(0, {_count('line', '»')} - {_count('line', '«')}) AS bars,
+         regexp_extract_all(lower(line), '{_PHRASES}') AS phrases
   FROM filled),
+bars AS (
+  SELECT *, bars + len(list_filter(w, lambda one: one IN ({_LONE})))
+         - least(len(list_filter(w, lambda one: one = '›')), {_count('line', '‹')}) AS entries
+  FROM parts),
+judged AS (
+  SELECT *, 100 * symbols > 10 * length(line)
+         OR 100 * marks > 50 * solid
+         OR 100 * {_count('line', '!')} >= 50 * len(w)
+         OR (entries >= 3 AND 100 * entries >= 15 * len(w))
+         OR CASE WHEN length(line) <= 100 THEN len(phrases) > 0
+                 ELSE 100 * coalesce(list_sum(list_transform(phrases, lambda one: length(one))), 0) >= 20 * length(line) END AS fails
+  FROM bars),
 by_line AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
          count(*) FILTER (fails) AS n_failed_lines, coalesce(sum(solid) FILTER (fails), 0)::BIGINT AS lost_chars

@@ -59,11 +59,23 @@ class Merges:
         kind = found["pre_tokenizer"]
         if found["model"]["type"] != "BPE" or kind["type"] != "ByteLevel" or kind["add_prefix_space"] or found["normalizer"]:
             raise ValueError("only byte-level pair vocabularies without a prefix space or normalizer")
+        if not kind.get("use_regex", True):
+            raise ValueError("only vocabularies that split words by their own pattern")
+        model = found["model"]
+        if told := [name for name in ("ignore_merges", "dropout", "continuing_subword_prefix", "end_of_word_suffix") if model.get(name)]:
+            raise ValueError(f"vocabularies with {told} would be counted wrongly")
+        marks = ("single_word", "lstrip", "rstrip", "normalized")
+        if told := [token["content"] for token in found["added_tokens"] if any(token.get(mark) for mark in marks)]:
+            raise ValueError(f"added tokens {told} are matched by rules of their own")
         number, merges = found["model"]["vocab"], found["model"]["merges"]
         base = max(number.values()) + 1
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in merges]
         keys = np.array([number[a] * base + number[b] for a, b in pairs], np.int64)
         results = np.array([number[a + b] for a, b in pairs], np.int32)
+        # Merging the lowest rank everywhere at once needs parts that are made before they are used.
+        made = {number[a + b]: rank for rank, (a, b) in reversed(list(enumerate(pairs)))}
+        if any(made.get(number[part], -1) >= rank for rank, pair in enumerate(pairs) for part in pair):
+            raise ValueError("a pair ranks before the one that makes its part")
         first = np.zeros(256, np.int32)
         for character, byte in byte_symbols().items():
             first[byte] = number[character]

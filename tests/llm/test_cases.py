@@ -3,9 +3,11 @@
 import base64
 import hashlib
 import math
+import re
 import unicodedata
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from checks.compare import differences
 from sluiceway.llm import (
     byte_bpe,
     exact_dedup,
@@ -26,6 +29,8 @@ from sluiceway.llm import (
     token_counts,
     toxicity,
 )
+from sluiceway.llm.oracles import ORACLES
+from sluiceway.llm.queries import QUERIES
 from sluiceway.llm.shared import written
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -605,6 +610,15 @@ def test_stages_keep_columns_and_take_empty_tables(spark, odd, none):
     assert corpus_pipeline.STAGES[-1][1](spark, none, "").count() == 0
 
 
+PHRASES = "datenschutzerklärung und nutzungsbedingungen, alle rechte vorbehalten, hier klicken"
+LINES = [
+    "-----  ----- ---", "Home • News • About • Contact", "a › b › c › d", "un «mot» et «deux» et «trois»", "x » y » z » w",
+    f"{PHRASES} {' '.join(PHRASES.split())}", " ".join(f"wort{i}" for i in range(40)) + " cliquez ici",
+    " ".join(f"wort{i}" for i in range(40)) + " | a | b | c", " ".join(f"wort{i}" for i in range(60)) + " Tous droits réservés",
+    "Términos de uso", "wow! yes! no! oh!", "a ‹ b › c / d / e / f", "#tag $5 %", "…", "• one point", "* * *", "a/b/c und/oder",
+]
+
+
 def pipeline_rows():
     """Clean documents, copies that differ in blanks, near copies, bad lines, short and repetitive ones."""
     random = np.random.default_rng(11)
@@ -614,24 +628,38 @@ def pipeline_rows():
     texts += [text.replace(text.split()[30], "changed", 1) for text in made[10:30]]
     texts += [text + "\nHome | News | About | Contact\nAll rights reserved." for text in made[25:40]]
     texts += [" ".join(made[40].split()[:50]) + "\n" + "click here " * 60, "too short", None, "", "again and again " * 40]
+    # Lines that each wider rule fails, and long ones of the same kind that stay.
+    texts += [f"{text}\n{line}" for text, line in zip(made[41:], LINES, strict=False)]
     sources = ["a", "b", "b", "b", "c", None]
     return [(i, text, "en", sources[i % len(sources)], len(text or "")) for i, text in enumerate(texts)]
 
 
+def plain_line_fails(line):
+    """The rules of a line with a word, a character at a time."""
+    inside = [word.decode() for word in line.encode().split()]
+    kinds = [unicodedata.category(c)[0] for c in line]
+    closing = sum(c == "»" for c in line) - sum(c == "«" for c in line)
+    lone = [word for word in inside if word in "/ • · ∙ ‣ ● ▪ ■ ▸ ► → ›".split()]
+    entries = sum(c == "|" for c in line) + max(0, closing) + len(lone) - min(lone.count("›"), line.count("‹"))
+    lower, at, found = line.lower(), 0, 0
+    phrases = line_quality.LineRules().phrases
+    while at < len(lower):
+        here = next((phrase for phrase in phrases if lower.startswith(phrase, at)), "")
+        found += len(here)
+        at += len(here) or 1
+    return (
+        sum(c in "#*$%&|<>" for c in line) / len(line) > 0.1 or sum(kind in "PS" for kind in kinds) / sum(map(len, inside)) > 0.5
+        or line.count("!") / len(inside) >= 0.5 or entries >= 3 and entries / len(inside) >= 0.15
+        or (found > 0 if len(line) <= 100 else found / len(line) >= 0.2))
+
+
 def plain_clean(text):
     """The text without failing lines, or None if it is rejected."""
-    rules = line_quality.LineRules()
     own, every, _, _, repeats = plain_base(text)
     left, lost = [], 0
     for line in (text or "").split("\n"):
-        inside = line.split()
-        bad = inside and (
-            sum(c in "#*$%&|<>" for c in line) / len(line) > rules.symbol_share / 100
-            or line.count("!") / len(inside) >= rules.shout_share / 100
-            or sum(c in "|»" for c in line) >= rules.bars
-            or any(phrase in line.lower() for phrase in rules.phrases))
-        if bad:
-            lost += sum(map(len, inside))
+        if line.encode().split() and plain_line_fails(line):
+            lost += sum(len(word.decode()) for word in line.encode().split())
         else:
             left.append(line)
     if own < 50 or repeats / own > 0.5 or lost / every > 0.5:
@@ -663,6 +691,19 @@ def plain_pipeline(docs, library):
     return sorted(out, key=str), len(clean), len(distinct), len(kept)
 
 
+def test_lines_equal_brute_force_and_sql(spark, tmp_path):
+    rules = line_quality.LineRules()
+    phrase = re.compile("|".join(map(re.escape, rules.phrases)))
+    judged = [line_quality.line_fails(line, rules, phrase) for line in LINES]
+    assert judged == [plain_line_fails(line) for line in LINES] and 5 < sum(judged) < len(LINES) - 3
+    docs = [row for row in pipeline_rows() if row[0] is not None]
+    docs += [(1000 + i, f"{PROSE}\n{line}\n{line}", "en", "a", 1) for i, line in enumerate(LINES)]
+    spark.createDataFrame(docs, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert differences(QUERIES["op4_line_quality"](spark, str(tmp_path)), duck, ORACLES["op4_line_quality"]) == []
+
+
 def test_pipeline_equals_brute_force(spark, ranks, tmp_path):
     docs = pipeline_rows()
     spark.createDataFrame(docs, SCHEMA).repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
