@@ -2,12 +2,14 @@
 
 Each message is split into lines, and the run of ``>`` marks at a line's start gives its
 quote level. Lines of one level that follow each other are a passage. Passages are
-normalised and hashed, quoted ones whole and line by line, a message's own ones as well.
-A quoted passage belongs to the first message of the conversation that has it as its own.
+normalised and hashed, quoted ones whole, line by line and by sentences, a message's own
+ones as well, so a reply that rewraps a passage or quotes one sentence of it is linked. A quoted passage belongs to the first message of the conversation that has it as its own.
 The parent of a message is the original of its least deeply quoted passages; of several,
 the one that most quoted characters come from, then the latest. Messages that quote
 nothing known start a thread. Threads are ordered by their messages' turns, replies
-directly below what they answer.
+directly below what they answer. Depths, sizes of subtrees and places come out of pointer
+doubling, in rounds that grow with the logarithm of the longest chain; a row holds a few
+numbers, never its chain.
 
 Defined results: a null text has no lines, a null conversation or turn is a value of its
 own, ordered last, and links to nothing. A passage that no earlier message has links to
@@ -31,6 +33,11 @@ OPEN, CLOSE = "\x01", "\x02"
 INTRODUCTION = r"(?i)^[ \t]*(on\b.*\bwrote|.*\bsaid|quoting\b.*)[ \t]*:[ \t\r]*$"
 
 
+#: Where a sentence ends, and the words that one has at least to be looked for by itself.
+END = r"(?<=[.!?]) "
+SENTENCE = 3
+
+
 def quote_level(line: Column) -> Column:
     """How many marks a line starts with."""
     return F.length(F.translate(F.regexp_extract(line, MARKS, 0), " \t", ""))
@@ -73,7 +80,7 @@ def link_messages(
 
     ``parent_turn`` is the turn it replies to or null, ``depth`` its distance from the start
     of its thread, ``n_quotes`` its quoted passages, ``n_linked`` the distinct quoted
-    passages and lines whose original was found, ``position`` its place in the
+    passages, lines and sentences whose original was found, ``position`` its place in the
     reply-ordered conversation, from 0.
     """
     coded = messages.select(
@@ -87,7 +94,11 @@ def link_messages(
             return F.transform(F.filter(name, wanted), lambda one: F.struct(
                 one["level"].alias("level"), normalised(one[field]).alias("unit")))
 
-        parts = [leveled("runs", "text"), leveled("lines", "line")]
+        def sentences(run: Column) -> Column:
+            parts = F.filter(F.split(normalised(run["text"]), END), lambda part: F.size(F.split(part, " ")) >= SENTENCE)
+            return F.transform(parts, lambda part: F.struct(run["level"].alias("level"), part.alias("unit")))
+
+        parts = [leveled("runs", "text"), leveled("lines", "line"), F.flatten(F.transform(F.filter("runs", wanted), sentences))]
         return F.array_distinct(F.filter(F.concat(*parts), lambda one: one["unit"] != ""))
 
     rows = written(coded.select(
@@ -100,18 +111,22 @@ def link_messages(
     ), "messages")
 
     linked = links(rows)
-    parents = best_parent(linked)
-    tree = thread_paths(parents)
     found = linked.groupBy("conv_id", "turn", "text_hash").agg(F.count("*").alias("n_linked"))
     same = ["conv_id", "turn"]
+    nodes = null_safe(rows.groupBy(*same).agg(F.count("*").alias("weight")), best_parent(linked), same)
+    tree = thread_places(written(nodes, "threads"))
     placed = null_safe(rows.drop("own", "quoted"), found, [*same, "text_hash"])
     placed = null_safe(placed, tree, same).withColumn("n_linked", F.coalesce("n_linked", F.lit(0)))
-    keyed = placed.withColumn("_group", F.coalesce(F.concat(F.lit("0"), F.col("conv_id").cast("string")), F.lit("1"))).withColumn(
-        "_path", F.coalesce("path", F.array(F.col("turn"))))
-    ranked = with_rank(keyed, ["_path", "turn", "own_text", "role"], group="_group", rank="position")
+    # Messages that share conversation and turn stand side by side at the place of their node.
+    ranked = with_rank(placed.withColumn("_node", node_key("conv_id", "turn")), ["own_text", "role"], group="_node", rank="beside")
     return ranked.select(
-        "conv_id", "turn", "role", "own_text", "parent_turn", F.coalesce("depth", F.lit(0)).alias("depth"),
-        "n_quotes", F.col("n_linked").cast("long").alias("n_linked"), F.col("position").cast("long").alias("position"))
+        "conv_id", "turn", "role", "own_text", "parent_turn", F.col("depth").cast("int").alias("depth"),
+        "n_quotes", F.col("n_linked").cast("long").alias("n_linked"), (F.col("place") + F.col("beside")).cast("long").alias("position"))
+
+
+def node_key(*columns: str) -> Column:
+    """A text that tells values apart, nulls included."""
+    return F.concat_ws(":", *(F.coalesce(F.concat(F.lit("0"), F.col(one).cast("string")), F.lit("1")) for one in columns))
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -149,23 +164,46 @@ def best_parent(linked: DataFrame) -> DataFrame:
         "conv_id", "turn", (-F.col("best.earlier")).alias("parent_turn"))
 
 
-def thread_paths(parents: DataFrame) -> DataFrame:
-    """``conv_id, turn, parent_turn, depth, path`` of every linked message.
+def climbed(nodes: DataFrame, grown: str, seen: str) -> DataFrame:
+    """One round of doubling: each node takes over the ancestor of its ancestor, and adds its ``grown`` number.
+
+    ``seen`` is left as it is. A node that many others point at is one row on its side of the join.
+    """
+    above = nodes.select(
+        F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.col("above").alias("_next"), F.col(grown).alias("_more"))
+    joined = nodes.join(above, (F.col("conv_id") == F.col("_conv")) & (F.col("above") == F.col("_turn")), "left")
+    return joined.select(
+        "conv_id", "turn", "weight", "parent_turn", F.col("_next").alias("above"),
+        (F.col(grown) + F.coalesce("_more", F.lit(0))).alias(grown), seen)
+
+
+def thread_places(nodes: DataFrame) -> DataFrame:
+    """``conv_id, turn, parent_turn, depth, place`` of nodes with a ``weight`` (messages) and a ``parent_turn``.
 
-    A path lists the turns from the start of a thread. Paths double in length with every
-    round: a message takes over the path of the message that its own path begins at.
-    Parents have earlier turns, so there are no cycles.
+    First round after round: a node's size grows by the sizes of those whose ancestor, twice as far
+    away each time, it is, and depths add up on the way. A node then stands behind its parent's
+    messages and its earlier siblings' subtrees, and the sums of these numbers over all its
+    ancestors are its place. Parents have earlier turns, so there are no cycles.
     """
-    current = written(parents.select(
-        "conv_id", "turn", "parent_turn", F.array("parent_turn", "turn").alias("path")), "paths")
-    while True:
-        heads = current.select(
-            "conv_id", F.col("turn").alias("_head"), F.col("path").alias("_above"))
-        joined = current.withColumn("_head", F.get("path", F.lit(0))).join(heads, ["conv_id", "_head"], "left")
-        grown = F.when(F.col("_above").isNull(), F.col("path")).otherwise(
-            F.concat("_above", F.slice("path", F.lit(2), F.size("path"))))
-        longer = written(joined.select(
-            "conv_id", "turn", "parent_turn", grown.alias("path"), F.col("_above").isNotNull().alias("_grew")), "paths")
-        current = longer.drop("_grew")
-        if longer.where("_grew").isEmpty():
-            return current.withColumn("depth", F.size("path") - 1)
+    current = nodes.select(
+        "conv_id", "turn", "weight", "parent_turn", F.col("parent_turn").alias("above"),
+        F.col("parent_turn").isNotNull().cast("long").alias("depth"), F.col("weight").alias("size"))
+    current = written(current, "sizes")
+    while not current.where("above IS NOT NULL").isEmpty():
+        sent = written(current.where("above IS NOT NULL").groupBy(
+            F.col("conv_id").alias("_conv"), F.col("above").alias("_turn")).agg(F.sum("size").alias("_sent")), "sent")
+        larger = current.join(sent, (F.col("conv_id") == F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left").withColumn(
+            "size", F.col("size") + F.coalesce("_sent", F.lit(0))).drop("_conv", "_turn", "_sent")
+        current = written(climbed(larger, "depth", "size"), "sizes")
+    # Threads of a conversation are siblings, too.
+    known = current.withColumn("_siblings", F.when(F.col("parent_turn").isNull(), node_key("conv_id")).otherwise(
+        node_key("conv_id", "parent_turn")))
+    behind = with_rank(known, ["turn"], group="_siblings", rank="behind", weight="size")
+    parents = nodes.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.col("weight").alias("_weight"))
+    behind = behind.join(parents, (F.col("conv_id") == F.col("_conv")) & (F.col("parent_turn") == F.col("_turn")), "left")
+    current = written(behind.select(
+        "conv_id", "turn", "weight", "parent_turn", F.col("parent_turn").alias("above"),
+        (F.col("behind") + F.coalesce("_weight", F.lit(0))).alias("place"), "depth"), "places")
+    while not current.where("above IS NOT NULL").isEmpty():
+        current = written(climbed(current, "place", "depth"), "places")
+    return current.select("conv_id", "turn", "parent_turn", "depth", "place")

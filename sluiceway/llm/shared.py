@@ -68,9 +68,13 @@ def excerpt(text: Column, key: Column, longest: int, pieces: int, seed: int) ->
     return F.when(F.octet_length(text) <= longest, text).otherwise(cut)
 
 
-def with_rank(df: DataFrame, keys: Sequence[str], group: str | None = None, rank: str = "rank") -> DataFrame:
+def with_rank(
+    df: DataFrame, keys: Sequence[str], group: str | None = None, rank: str = "rank", weight: str | None = None,
+) -> DataFrame:
     """Number rows from 0 by ``keys``, within each value of the non-null column ``group``.
 
+    With a ``weight`` the sum of the weights before a row takes the place of their number.
+
     No group is ever sorted in one task: rows are range-partitioned by the group and the
     keys together, so a group that holds most rows is cut into many ranges. The ranges are
     written once (their bounds come from a sample and would differ if computed anew), rows
@@ -82,13 +86,15 @@ def with_rank(df: DataFrame, keys: Sequence[str], group: str | None = None, rank
     ranged = df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in [*by, *keys]])
     ranged = written(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
     before = Window.orderBy("_range") if group is None else Window.partitionBy(group).orderBy("_range")
-    counts = ranged.groupBy(*by, "_range").agg(F.count("*").alias("_n"))
+    counts = ranged.groupBy(*by, "_range").agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     offsets = counts.select(
         *by, "_range",
         (F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"),
     )
     within = Window.partitionBy(*by, "_range").orderBy(*[F.col(c).asc_nulls_last() for c in keys])
-    numbered = ranged.withColumn("_place", F.row_number().over(within) - 1)
+    summed = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.sum(weight).over(summed) - F.col(weight) if weight else F.row_number().over(within) - 1
+    numbered = ranged.withColumn("_place", place)
     return (
         numbered.join(offsets, [*by, "_range"])
         .withColumn(rank, F.col("_before") + F.col("_place"))
