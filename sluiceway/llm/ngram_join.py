@@ -2,12 +2,14 @@
 
 1. One pass over the texts makes a MinHash signature of each n-gram set, cut into bands,
    and a digest of the whole set. Documents with equal sets form one class of copies.
-2. Classes are shuffled on band hashes. Each bucket links its members to its smallest
-   one only, and connected components of these links are the candidate groups: every pair
-   that shares a band lies in one group.
-3. Candidate groups are verified on full n-gram sets. A group is dealt into blocks of
-   bounded size, and each pair of blocks is one unit of work that counts intersections as
-   a matrix product. A unit returns one row per document, never a row per pair.
+2. Classes are shuffled on band hashes. Buckets with the same members are one. Each links its
+   members to its smallest one only; components of these links are the candidate groups.
+3. Pairs are verified on full n-gram sets, in units of work of bounded size. A group with no
+   more pairs than its buckets hold together is dealt into blocks, and each pair of blocks is a
+   unit. Any other group, such as a chain of buckets, is verified bucket by bucket, a large
+   bucket by pairs of blocks, and a pair counts in the first bucket that holds both. So no more
+   pairs are compared than buckets hold, however far groups chain. A unit counts intersections
+   as a matrix product and returns one row per document, never a row per pair.
 4. Components of the verified links are the classes of near copies.
 
 Bands and rows per band follow from the recall wanted at the threshold. Verified links are
@@ -29,13 +31,14 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.components import components
-from sluiceway.llm.shared import free_name, text_of, written
+from sluiceway.llm.shared import free_name, per_unit, text_of, written
 
 MASK = (1 << 64) - 1
+UNIT = ["unit", "first", "second"]
 
 
 def choose_bands(threshold: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -53,7 +56,11 @@ def choose_bands(threshold: float, recall: float, hashes: int) -> tuple[int, int
 
 @dataclass(frozen=True)
 class Similarity:
-    """Parameters of the join. ``block`` bounds the documents of a unit of work to twice its value, on average."""
+    """Parameters of the join.
+
+    A block has ``block`` documents or ``block_grams`` n-grams on average, whichever is fewer; a
+    unit of work has two blocks.
+    """
 
     words: int = 5
     threshold: float = 0.8
@@ -61,6 +68,7 @@ class Similarity:
     hashes: int = 128
     seed: int = 7
     block: int = 512
+    block_grams: int = 1 << 20
 
     @property
     def share(self) -> Fraction:
@@ -191,67 +199,101 @@ def local_roots(pairs: np.ndarray) -> np.ndarray:
 
 
 def verify_unit(rows: pd.DataFrame, share: Fraction) -> pd.DataFrame:
-    """Links of one pair of blocks: for each document how many, and a root that it is linked to."""
+    """Links of one pair of blocks: for each document how many, and a root that it is linked to.
+
+    Pairs that share one of their ``earlier`` buckets are counted there and left out.
+    """
     first, second = int(rows["first"].iloc[0]), int(rows["second"].iloc[0])
     rows = rows.sort_values("node", kind="stable")
-    sets = [np.asarray(one, np.int64) for one in rows["set"]]
-    copies, nodes = rows["copies"].to_numpy(), rows["node"].to_numpy()
-    inside = rows["own"].to_numpy()
-    if first == second:
-        pairs = linked(sets, sets, share)
-        np.fill_diagonal(pairs, False)
-    else:
-        a, b = np.flatnonzero(inside == first), np.flatnonzero(inside == second)
-        pairs = np.zeros((len(sets), len(sets)), bool)
-        if len(a) and len(b):
-            pairs[np.ix_(a, b)] = linked([sets[i] for i in a], [sets[i] for i in b], share)
+    copies, nodes, own = (rows[name].to_numpy() for name in ("copies", "node", "own"))
+    a, b = np.flatnonzero(own == first), np.flatnonzero(own == second)
+    pairs = np.zeros((len(rows), len(rows)), bool)
+    if len(a) and len(b) and len(rows) > 1:
+        earlier = [np.asarray(one, np.int64) for one in rows["earlier"]]
+        due = np.ones((len(a), len(b)), bool)
+        if any(map(len, earlier)):
+            due = shared_counts([earlier[i] for i in a], [earlier[i] for i in b]) == 0
+        due &= a[:, None] != b[None, :]
+        some, other = a[due.any(axis=1)], b[due.any(axis=0)]
+        if len(some):
+            sets = [np.asarray(one, np.int64) for one in rows["set"]]
+            met = linked([sets[i] for i in some], [sets[i] for i in other], share)
+            pairs[np.ix_(some, other)] = met & due[np.ix_(due.any(axis=1), due.any(axis=0))]
             pairs |= pairs.T
     return pd.DataFrame({
-        "node": nodes, "root": nodes[local_roots(pairs)], "whole": rows["blocks"].to_numpy() == 1,
+        "node": nodes, "root": nodes[local_roots(pairs)], "whole": rows["whole"].to_numpy(),
         "links": pairs.sum(axis=1), "linked_docs": pairs @ copies,
     })
 
 
-def verified(members: DataFrame, how: Similarity) -> DataFrame:
-    """Links of candidate groups from ``node, root, copies, set``: ``node, links, linked_docs, root``.
+def blocks_of(members: Column, grams: Column, how: Similarity) -> Column:
+    """How many blocks a group or bucket is dealt into."""
+    return F.ceil(F.greatest(members / how.block, grams / how.block_grams, F.lit(1.0))).cast("int")
 
-    Each unit's rows lie together in a partition sorted by unit and are read one unit at a
-    time. A group of m documents makes (m / block) squared units, which go to as many tasks.
-    """
-    share = how.share
-    # Written, so that the join shuffles both sides and a group of most documents can be split.
-    sizes = written(members.groupBy("root").agg(F.count("*").alias("members")), "group-sizes")
-    blocks = F.ceil(F.col("members") / how.block).cast("int")
-    dealt = (
-        members.join(sizes, "root").withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+def dealt(units: DataFrame, blocks: Column, whole: Column) -> DataFrame:
+    """Members of ``units`` once for each pair of blocks that their own one is in."""
+    return (
+        units.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("root", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
-                "own", "blocks", "node", "copies", "set")
+        .select("unit", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
+                "own", whole.alias("whole"), "node", "earlier")
     )
-    unit = ["root", "first", "second"]
-    sorted_units = dealt.repartition(*unit).sortWithinPartitions(*unit)
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            for _, rows in batch.groupby(unit, sort=False):
-                if held and tuple(held[0][unit].iloc[0]) != tuple(rows[unit].iloc[0]):
-                    yield verify_unit(pd.concat(held), share)
-                    held = []
-                held.append(rows)
-        if held:
-            yield verify_unit(pd.concat(held), share)
 
-    return sorted_units.mapInPandas(each, "node string, root string, whole boolean, links long, linked_docs long")
+def units_of_work(classes: DataFrame, memberships: DataFrame, groups: DataFrame, how: Similarity) -> DataFrame:
+    """``unit, first, second, own, whole, node, earlier``: the documents of each pair of blocks.
+
+    ``whole`` marks groups that are a single unit. Counts of groups and buckets are written, so
+    that joins with them shuffle both sides and one that most documents share can be split.
+    """
+    sizes = classes.select("node", F.col("grams").cast("long").alias("grams"))
+    placed = written(memberships.join(groups, "node").join(sizes, "node"), "placed")
+    # Long counts would overflow when squared.
+    buckets = written(placed.groupBy("root", "bucket").agg(
+        F.count("*").alias("members"), F.sum("grams").alias("bucket_grams")), "bucket-sizes")
+    held = buckets.groupBy("root").agg(F.sum(F.col("members") * (F.col("members") - 1.0)).alias("held"))
+    known = placed.select("root", "node", "grams").distinct().groupBy("root").agg(
+        F.count("*").alias("n"), F.sum("grams").alias("group_grams")).join(held, "root")
+    known = written(known.withColumn("dense", F.col("n") * (F.col("n") - 1.0) <= F.col("held")), "group-sizes")
+
+    blocks = blocks_of(F.col("n"), F.col("group_grams"), how)
+    by_group = dealt(
+        groups.join(known.where("dense"), "root").withColumn("unit", F.col("root")).withColumn(
+            "earlier", F.array().cast("array<long>")), blocks, F.col("blocks") == 1)
+
+    sparse = placed.select("root", "node", "bucket").join(known.where("not dense").select("root"), "root")
+    listed = sparse.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))  # one a band at most
+    each = listed.select("node", "buckets", F.posexplode("buckets").alias("place", "bucket")).select(
+        "node", "bucket", F.expr("slice(buckets, 1, place)").alias("earlier"))
+    by_bucket = dealt(
+        each.join(buckets, "bucket").withColumn("unit", F.col("bucket").cast("string")),
+        blocks_of(F.col("members"), F.col("bucket_grams"), how), F.lit(False))
+    return by_group.unionByName(by_bucket)
+
+
+def verified(units: DataFrame, sets: DataFrame, how: Similarity) -> DataFrame:
+    """Verified links by unit: ``node, root, whole, links, linked_docs``, from ``sets`` with ``node, copies, set``."""
+    share = how.share
+    rows = units.join(sets, "node").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return rows.mapInPandas(
+        per_unit(UNIT, lambda one: verify_unit(one, share)),
+        "node string, root string, whole boolean, links long, linked_docs long")
+
 
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """``node``, ``bucket`` and the bucket's smallest node ``low``, for buckets of several classes.
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of every class that shares a band with another one."""
+    Of buckets with the same members, told apart by their number, smallest one and two
+    checksums, only one is left. Counted before the shuffle, so a common band is a row per task.
+    """
     keyed = classes.select("node", F.explode("bands").alias("band"))
-    low = keyed.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
-    edges = keyed.join(low, "band").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    return components(edges)
+    counted = keyed.groupBy("band").agg(
+        F.min("node").alias("low"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
+    # Written, so that the join shuffles both sides and a band of most classes can be split.
+    distinct = written(counted.groupBy("low", "n", "x", "y").agg(F.min("band").alias("band")).select("band", "low"), "buckets")
+    return keyed.join(distinct, "band").select("node", F.col("band").alias("bucket"), "low")
 
 
 def similarity_classes(
@@ -268,10 +310,12 @@ def similarity_classes(
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
     classes = written(
         signed.where("grams > 0").groupBy("node").agg(
-            F.min(key).alias("first"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")), "copy-classes")
-    groups = written(candidates(classes), "candidate-groups")
+            F.min(key).alias("first"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"),
+            F.any_value("grams").alias("grams")), "copy-classes")
+    memberships = written(bucket_members(classes), "bucket-members")
+    groups = written(components(memberships.select(F.col("node").alias("a"), F.col("low").alias("b"))), "candidate-groups")
     wanted = groups.join(classes.select("node", "first", "copies"), "node").select(
-        "node", "root", "copies", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+        "node", "copies", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     whole = text_of(text)
     texts = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("text_hash"))
 
@@ -282,10 +326,10 @@ def similarity_classes(
                             dtype=object)
 
     matched = texts.join(wanted, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    members = written(
+    sets = written(
         matched.dropDuplicates(["node"]).select(
-            "node", "root", "copies", gram_set.asNondeterministic()("text").alias("set")), "gram-sets")
-    links = written(verified(members, how), "links")
+            "node", "copies", gram_set.asNondeterministic()("text").alias("set")), "gram-sets")
+    links = written(verified(units_of_work(classes, memberships, groups, how), sets, how), "links")
     counted = links.groupBy("node").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
     joint = components(links.where("not whole").select(F.col("node").alias("a"), F.col("root").alias("b")))
     single = links.where("whole").select("node", "root")

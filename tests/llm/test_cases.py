@@ -418,6 +418,43 @@ def test_classes_equal_brute_force(spark, block):
     assert {i for i, r in found.items() if r.stays} == set(roots(links))
 
 
+def chained_texts(step, count, grams=96):
+    """Texts of which only neighbours, and some of their neighbours, are similar: windows of one long text."""
+    words = [f"c{step}w{i}" for i in range(count * step + grams + 4)]
+    return [" ".join(words[i * step : i * step + grams + 4]) for i in range(count)]
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_chains_and_groups_equal_brute_force(spark, block):
+    texts = [*chained_texts(10, 40), *chained_texts(14, 40), *near_texts(bases=3), *chained_texts(3, 25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in ngram_join.similarity_classes(docs, how=ngram_join.Similarity(block=block)).collect()}
+    links = plain_links(texts)
+    assert {i: r.n_links for i, r in found.items()} == {i: len(own) for i, own in enumerate(links)}
+    assert {i: r.class_id for i, r in found.items()} == dict(enumerate(roots(links)))
+
+
+@pytest.mark.parametrize(("block", "block_grams"), [(512, 1 << 20), (3, 1 << 20), (512, 300)])
+def test_no_more_pairs_than_buckets_hold(spark, block, block_grams):
+    """A chain of texts below the threshold makes large groups; its work stays that of its buckets."""
+    how = ngram_join.Similarity(block=block, block_grams=block_grams)
+    texts = [*chained_texts(14, 1000), *near_texts(bases=3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = ngram_join.signatures(docs, how).cache()
+    memberships = ngram_join.bucket_members(classes).cache()
+    groups = ngram_join.components(memberships.select(F.col("node").alias("a"), F.col("low").alias("b"))).cache()
+    held = sum(r["count"] * (r["count"] - 1) // 2 for r in memberships.groupBy("bucket").count().collect())
+    units = ngram_join.units_of_work(classes, memberships, groups, how).groupBy(*ngram_join.UNIT, "own").count().collect()
+    sizes = {}
+    for r in units:
+        sizes.setdefault((r.unit, r.first, r.second), {})[r.own] = r["count"]
+    compared = sum(
+        own.get(first, 0) * (own.get(first, 0) - 1) // 2 if first == second else own.get(first, 0) * own.get(second, 0)
+        for (_, first, second), own in sizes.items())
+    by_group = sum(r["count"] * (r["count"] - 1) // 2 for r in groups.groupBy("root").count().collect())
+    assert 0 < compared <= held < by_group / 5
+
+
 def test_bands_reach_the_recall():
     for threshold, recall, hashes in ((0.8, 0.9995, 128), (0.5, 0.99, 64), (0.9, 0.999, 200)):
         bands, per_band = ngram_join.choose_bands(threshold, recall, hashes)
