@@ -6,6 +6,7 @@ Which catalog that is (in memory, a metastore, a lake catalog) is configuration.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DecimalType, StructType
@@ -116,17 +117,25 @@ def register_table(
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION {quoted(location)}")
         return
     parts = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(schema)}) "
-        f"USING {format}{parts} LOCATION {quoted(location)}"
-    )
-    refresh_table(spark, name)
-    if changed := _other_types(spark, name, schema):
-        spark.sql(f"DROP TABLE {name}")  # made above; its files stay
+    shape = f"({columns_ddl(schema)}) USING {format}{parts} LOCATION {quoted(location)}"
+    if changed := _guessed_types(spark, name, shape, schema):
         raise ValueError(
             f"{name}: types of {changed} would be guessed from directory names; set "
             "spark.sql.sources.partitionColumnTypeInference.enabled to false"
         )
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {shape}")
+    _check_same(spark, name, location, schema, format, partition_by)  # another session may have been first
+    refresh_table(spark, name)
+
+
+def _guessed_types(spark: SparkSession, name: str, shape: str, schema: StructType) -> list[str]:
+    """Columns that a table over these files would show with other types, seen on one of a name of its own."""
+    trial = f"{name.rstrip('`')}_{uuid.uuid4().hex}" + ("`" if name.endswith("`") else "")
+    spark.sql(f"CREATE TABLE {trial} {shape}")
+    try:
+        return _other_types(spark, trial, schema)
+    finally:
+        spark.sql(f"DROP TABLE {trial}")  # its files stay
 
 
 def _other_types(spark: SparkSession, name: str, schema: StructType) -> list[str]:
@@ -134,10 +143,13 @@ def _other_types(spark: SparkSession, name: str, schema: StructType) -> list[str
     return [f.name for f in schema if found.get(f.name) != f.dataType]
 
 
-def _place(location: str, with_scheme: bool) -> str:
-    scheme, _, path = location.rpartition(":")
-    path = "/" + path.strip("/")
-    return f"{scheme}:{path}" if with_scheme else path
+def _place(spark: SparkSession, location: str) -> tuple[str, str, str]:
+    """File system, authority and path; a path without a file system is one of the default file system."""
+    place = urlsplit(location)
+    if not place.scheme:
+        default = urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"))
+        place = place._replace(scheme=default.scheme, netloc=default.netloc)
+    return place.scheme, place.netloc, "/" + place.path.strip("/")
 
 
 def _check_same(
@@ -146,9 +158,8 @@ def _check_same(
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     told = {row["col_name"]: row["data_type"] for row in rows}
     parts = [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
-    scheme = ":" in location
     differences = []
-    if _place(told.get("Location", ""), scheme) != _place(location, scheme):
+    if _place(spark, told.get("Location", "")) != _place(spark, location):
         differences.append(f"location {told.get('Location')}")
     if told.get("Provider", "").lower() != format.lower():
         differences.append(f"format {told.get('Provider')}")

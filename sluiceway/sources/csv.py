@@ -63,18 +63,20 @@ def file_place() -> list[Column]:
 
 
 def first_files(df: DataFrame, rows: int, read: Callable[[list[str]], DataFrame]) -> list[str]:
-    """As many files of ``df``, in the order of their paths, as hold ``rows`` rows.
+    """The first files of ``df``, in the order of their paths, that hold ``rows`` rows.
 
-    Reads files one after the other and stops at the first that fills the number, so
-    files behind it are not opened.
+    Files are counted in lots: as many as should hold what is missing, by the rows a file had
+    so far, and no more than twice the files before. So small or empty files take few jobs, and
+    the files opened for nothing are bounded by those that are needed.
     """
-    chosen, found = [], 0
-    for file in sorted(map(unquote, df.inputFiles())):
-        if found >= rows:
-            break
-        chosen.append(file)
-        found += read([file]).limit(rows - found).count()
-    return chosen
+    files = sorted(map(unquote, df.inputFiles()))
+    opened, found, lot = 0, 0, 1
+    while found < rows and opened < len(files):
+        found += read(files[opened : opened + lot]).limit(rows - found).count()
+        opened = min(opened + lot, len(files))
+        missing = -(-(rows - found) * opened // found) if found else 2 * opened
+        lot = max(1, min(missing, 2 * opened))
+    return files[:opened]
 
 
 def read_csv_head(

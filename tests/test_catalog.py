@@ -162,3 +162,25 @@ def test_joined_table_prunes_partitions_at_run_time(spark, sf_dir, plan):
     found.collect()
     final = plan(found).split("== Physical Plan ==")[1].split("Initial Plan")[0]
     assert "PartitionFilters: [isnotnull(brand" in final and "dynamicpruning" in final
+
+
+def test_locations_differ_by_file_system(spark):
+    place = catalog._place(spark, "/lake/x/")
+    assert place == catalog._place(spark, "file:/lake/x") == catalog._place(spark, "file:///lake/x")
+    assert place != catalog._place(spark, "s3a://lake/x") != catalog._place(spark, "s3a://other/x")
+
+
+def test_a_table_made_meanwhile_stays(spark, database, rows, tmp_path, monkeypatch):
+    name, path = f"{database}.raced", str(tmp_path / "lake")
+    write_lake(rows, path)
+    guessed = catalog._guessed_types
+
+    def raced(*args):
+        spark.sql(f"CREATE TABLE {name} (id STRING) USING parquet")
+        return guessed(*args)
+
+    monkeypatch.setattr(catalog, "_guessed_types", raced)
+    with pytest.raises(ValueError, match="left as it is"):
+        catalog.register_table(spark, name, path, SMALL)
+    assert spark.table(name).columns == ["id"]
+    assert [t.name for t in spark.catalog.listTables(database) if t.name.startswith("raced")] == ["raced"]

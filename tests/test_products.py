@@ -5,7 +5,7 @@ from sluiceway.functions.expressions import event_time_text
 from sluiceway.operators import products
 from sluiceway.plans import jobs
 from sluiceway.schemas import DOUBLE_ROW, PRODUCT_COLUMNS, RAW_ROW
-from sluiceway.sources.csv import read_csv, read_csv_head, write_csv
+from sluiceway.sources.csv import first_files, read_csv, read_csv_head, write_csv
 
 
 @pytest.fixture
@@ -123,3 +123,22 @@ def test_unnamed_index_column_without_schema(spark, tmp_path):
     (tmp_path / "raw.csv").write_text(",id,original_price,price,fulfillment_type\n0,a,20,15, f \n")
     jobs.clean_product_file(spark, str(tmp_path / "raw.csv"), str(tmp_path / "out"))
     assert read_csv(spark, str(tmp_path / "out")).columns == ["id", "original_price", "price", "fulfillment_type", "discount"]
+
+
+def test_head_counts_files_in_lots(spark):
+    """Many empty files take a number of jobs that grows with their logarithm."""
+    files = [f"f{i:04d}" for i in range(1000)]
+    lots = []
+
+    def read(names):
+        lots.append(len(names))
+        return spark.range(sum(name > "f0900" for name in names))
+
+    class Listed:
+        @staticmethod
+        def inputFiles():
+            return list(reversed(files))
+
+    assert first_files(Listed, 5, read)[-1] >= "f0905" and len(lots) < 10
+    lots.clear()
+    assert first_files(Listed, 0, read) == [] and not lots
