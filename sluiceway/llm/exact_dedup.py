@@ -89,6 +89,19 @@ class DigestIndex:
         fresh = written(self.new_groups(found).select("digest", "keep_id", "n_chars"), "digests-new")
         self._append(fresh, self.table, self.path, self.buckets)
 
+    def compacted(self, table: str, path: str) -> DigestIndex:
+        """The same digests under a new name, as one sorted file per bucket.
+
+        Every append adds a file to each bucket, and only a bucket of one file is sorted as a
+        whole. This index is left to its readers; the caller drops it once they are done.
+        """
+        if self.spark.catalog.tableExists(table):
+            raise ValueError(f"{table} exists")
+        # Read by path: over the bucketed table the planner leaves the shuffle out, and then the buckets.
+        rows = self.spark.read.schema(INDEX_ROW).parquet(self.path)
+        self._append(rows, table, path, self.buckets)
+        return DigestIndex(self.spark, table, path, self.buckets)
+
 
 def deduplicate(
     docs: DataFrame, index: DigestIndex, *, doc_id: str = "doc_id", text: str = "text",

@@ -207,6 +207,34 @@ def test_index_is_not_shuffled(spark, plan):
     assert left.count("Exchange") == 1 and "Bucketed: true" in right
 
 
+def test_many_appends_and_compaction(spark):
+    """Loads that overlap, against a dictionary of what was seen first; then one sorted file per bucket."""
+    index = exact_dedup.fresh_index(spark, 4)
+    known = {}
+
+    def load(index, number):
+        texts = {number * 100 + i: f"text {(number * 7 + i) % 40}" for i in range(12)}
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        found = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.deduplicate(docs, index).collect()}
+        for doc_id, text in texts.items():
+            known.setdefault(text, doc_id)
+        assert found == {doc_id: (known[text], known[text] == doc_id) for doc_id, text in texts.items()}
+
+    for number in range(6):
+        load(index, number)
+    name = f"{index.table}_compacted"
+    packed = index.compacted(name, f"{index.path}_compacted")
+    assert len(index.rows().inputFiles()) > 4 >= len(packed.rows().inputFiles())
+    for file in packed.rows().inputFiles():
+        digests = [r.digest for r in spark.read.parquet(file).collect()]
+        assert digests == sorted(digests)
+    assert sorted(packed.rows().collect()) == sorted(index.rows().collect())
+    load(packed, 6)
+    load(packed, 1)
+    with pytest.raises(ValueError, match="exists"):
+        index.compacted(name, f"{index.path}_again")
+
+
 def test_exact_keeps_columns(spark, odd, none):
     kept = exact_dedup.keep_first(odd, exact_dedup.fresh_index(spark, 4))
     assert kept.columns == odd.columns
