@@ -7,9 +7,14 @@ any text, and where a record ends follows from quotes:
    Each block of a file counts its quotes; a prefix sum over the blocks of a file, a row each,
    says with which parity a block begins.
 2. Within a block, a line that begins outside of quotes begins a record, and lines up to the next
-   such line belong to it. Lines before the first one belong to a record of an earlier block.
-3. Only lines of records with a break are grouped; all others are records as they are. Pieces of
-   a record that crosses block ends meet by the number of the block and of the record in it.
+   such line belong to it. Lines before the first one belong to a record of an earlier block. Lines
+   are taken in the order in which they are read: nothing is sorted, and a task holds a batch of
+   lines and the record that is open.
+3. Only the ends of blocks are shuffled: the lines before the first record of a block, and the last
+   record of each. Pieces of a record meet by the number of the block and of the record in it.
+
+Blocks with their parities, a row for each some hundred MB, are broadcast, so that lines stay where
+they are read.
 
 As in RFC 4180, quotes stand around whole cells and are doubled inside. A file with an odd number
 of quotes has an open cell at its end, which would swallow the rest of the file: its lines
@@ -18,21 +23,26 @@ are taken one by one instead, so that broken ones are marked.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sluiceway.operators.constraints import CORRUPT
 
-FILE, BLOCK, LINE, RECORD = "_file", "_block", "_line", "_record"
+FILE, BLOCK, RECORD = "_file", "_block", "_record"
 
 
 def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of files with their places: file, start of the block, and an order within it."""
+    """Lines of files with their places: file and start of the block, each block in its order."""
     lines = spark.read.option("lineSep", "\n").text(path)
     return lines.select(
         F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(LINE), F.col("value"),
+        F.col("value"),
         (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("_quotes"))
 
 
@@ -45,39 +55,96 @@ def block_parities(lines: DataFrame) -> DataFrame:
         FILE, BLOCK, (F.coalesce(before, F.lit(0)) % 2).alias("_inside"), (F.sum("_odd").over(in_file) % 2 == 0).alias("_balanced"))
 
 
-def numbered_lines(lines: DataFrame) -> DataFrame:
-    """Lines with the number of their record in the block, 0 for the rest of one that began earlier."""
-    in_block = Window.partitionBy(FILE, BLOCK).orderBy(LINE)
-    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) + F.col("_inside")
-    marked = lines.join(block_parities(lines), [FILE, BLOCK]).withColumn("_begins", ~F.col("_balanced") | (before % 2 == 0))
-    return marked.withColumn(RECORD, F.sum(F.col("_begins").cast("long")).over(
-        in_block.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_next", F.lead("_begins").over(in_block))
+class OpenRecord:
+    """The record of a block that further lines may belong to; number 0 is the rest of one that began earlier."""
+
+    def __init__(self, file: str, block: int, odd: int) -> None:
+        self.place, self.odd, self.number, self.lines = (file, block), odd, 0, []
+
+    def rows(self, kind: pa.DataType) -> pa.RecordBatch:
+        return record_rows(*self.place, [self.number] if self.lines else [], joined(self.lines, kind))
+
+
+def joined(lines: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    """One text of all lines; none without lines."""
+    if not lines:
+        return pa.array([], kind)
+    flat = pa.concat_arrays(lines)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat), "\n")
+
+
+def record_rows(file: str, block: int, numbers: list[int] | np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+    n = len(texts)
+    return pa.RecordBatch.from_arrays(
+        [pa.repeat(pa.scalar(file, texts.type), n), pa.repeat(pa.scalar(block, pa.int64()), n), pa.array(numbers, pa.int64()), texts],
+        [FILE, BLOCK, RECORD, "value"])
+
+
+def block_records(ends: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Records of lines that come block by block, in their order.
+
+    Either those that are whole, as the block shows the line behind them, or else the ``ends`` of
+    blocks: lines before the first record, and the last record, which may go on in the next block.
+    """
+    def of_run(record: OpenRecord, quotes: np.ndarray, balanced: bool, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        before = (record.odd + np.cumsum(quotes) - quotes) % 2
+        record.odd = int(record.odd + quotes.sum()) % 2
+        begins = np.flatnonzero(before == 0) if balanced else np.arange(len(lines))
+        if not len(begins):
+            record.lines.append(lines)
+            return
+        first, last = int(begins[0]), int(begins[-1])
+        if first:
+            record.lines.append(lines[:first])
+        if ends == (record.number == 0):
+            yield record.rows(lines.type)
+        if not ends:
+            offsets = pa.array(begins - first, pa.int32())
+            texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines[first:last]), "\n")
+            yield record_rows(*record.place, record.number + 1 + np.arange(len(texts)), texts)
+        record.number, record.lines = record.number + len(begins), [lines[last:]]
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, block, lines = (batch.column(name) for name in (FILE, BLOCK, "value"))
+            quotes = batch.column("_quotes").to_numpy()
+            other = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(block[1:], block[:-1]))
+            starts = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(starts, starts[1:]):
+                place = (file[start].as_py(), block[start].as_py())
+                if record is None or record.place != place:
+                    if record is not None and ends:
+                        yield record.rows(lines.type)
+                    record = OpenRecord(*place, batch.column("_inside")[start].as_py())
+                yield from of_run(record, quotes[start:end], batch.column("_balanced")[start].as_py(), lines[start:end])
+        if record is not None and ends:
+            yield record.rows(record.lines[0].type)
+
+    return records
 
 
 def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text of each record, with file, block and number in the block as its place.
 
-    Lines are shuffled once, by block, so that a task holds no more than a block.
+    Files are read once for the quotes of their blocks, once for whole records and once for the
+    ends of blocks; lines are not shuffled.
     """
-    lines = numbered_lines(file_lines(spark, path))
-    in_file = Window.partitionBy(FILE).orderBy(BLOCK)
-    blocks = lines.groupBy(FILE, BLOCK).agg(F.max(RECORD).alias("_records"), F.min(RECORD).alias("_first"))
-    filled = F.when(F.col("_records") > 0, F.struct(F.col(BLOCK).alias("b"), F.col("_records").alias("r")))
-    blocks = blocks.select(
-        FILE, BLOCK, F.last(filled, True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_owner"),
-        F.coalesce(F.lead("_first").over(in_file) == 0, F.lit(False)).alias("_goes_on"))
-    placed = lines.join(blocks, [FILE, BLOCK])
-    # A line that begins a record is one if the next begins another; at a block's end the next block tells.
-    whole = F.col("_begins") & F.coalesce(F.col("_next"), ~F.col("_goes_on"))
-    alone = placed.where(whole).select(FILE, BLOCK, RECORD, "value")
-    pieces = placed.where(~whole).select(
-        FILE, F.when(F.col(RECORD) == 0, F.col("_owner.b")).otherwise(F.col(BLOCK)).alias("_own_block"),
-        F.when(F.col(RECORD) == 0, F.col("_owner.r")).otherwise(F.col(RECORD)).alias(RECORD),
-        F.struct(F.col(BLOCK).alias("block"), F.col(LINE).alias("line"), F.col("value").alias("value")).alias("piece"))
-    joined = pieces.groupBy(FILE, F.col("_own_block").alias(BLOCK), RECORD).agg(
+    lines = file_lines(spark, path)
+    placed = lines.join(F.broadcast(block_parities(lines)), [FILE, BLOCK]).select(
+        FILE, BLOCK, F.col("_quotes").cast("long").alias("_quotes"), "_inside", "_balanced", "value")
+    shape = f"{FILE} string, {BLOCK} long, {RECORD} long, value string"
+    whole = placed.mapInArrow(block_records(ends=False), shape)
+    ends = placed.mapInArrow(block_records(ends=True), shape)
+    in_file = Window.partitionBy(FILE).orderBy(BLOCK, RECORD).rowsBetween(Window.unboundedPreceding, 0)
+    own = F.last(F.when(F.col(RECORD) > 0, F.struct(F.col(BLOCK).alias("block"), F.col(RECORD).alias("record"))), True)
+    piece = F.struct(BLOCK, RECORD, "value")
+    pieces = ends.select(FILE, own.over(in_file).alias("own"), piece.alias("piece"))
+    met = pieces.groupBy(FILE, F.col("own.block").alias(BLOCK), F.col("own.record").alias(RECORD)).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list("piece")), lambda one: one["value"]), "\n").alias("value"))
-    return alone.unionByName(joined)
+    return whole.unionByName(met)
 
 
 def read_csv_records(

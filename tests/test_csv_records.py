@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,3 +65,12 @@ def test_no_task_holds_a_whole_file(spark, tmp_path, plan, settings):
     (tmp_path / "a.csv").write_text("\n".join(["a,b,c", *rows(4, 300)]), newline="")
     sizes = csv_records(spark, str(tmp_path)).groupBy("_block").agg(F.sum(F.length("value")).alias("n"))
     assert sizes.agg(F.max("n")).first()[0] < 4096
+
+
+def test_lines_are_neither_sorted_nor_shuffled(spark, tmp_path, plan):
+    (tmp_path / "a.csv").write_text("\n".join(["a,b,c", *rows(5, 50)]), newline="")
+    text = plan(csv_records(spark, str(tmp_path))).split("== Physical Plan ==")[1]
+    assert not re.search(r"windowspecdefinition\(_file#\d+, _block#\d+L?, ", text)  # of a block's lines
+    for line in (line for line in text.splitlines() if "Exchange hashpartitioning" in line):
+        assert "_line" not in line and "value" not in line
+    assert text.count("MapInArrow") == 2
