@@ -244,6 +244,13 @@ def load_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop(catalog.LOAD)
 
 
+def _portions(spark: SparkSession, rows: DataFrame, count: int) -> str:
+    """Rows as so many files. A row group is the least that a task reads, so small ones let all cores load a file."""
+    path = fresh_folder(spark)
+    rows.repartition(count).write.option("parquet.block.size", 4 << 20).parquet(path)
+    return path
+
+
 @query
 def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two paced loads into one table, the second made twice: what the ledger says of each."""
@@ -255,8 +262,7 @@ def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = fx.part_products(spark, sf_dir).select(*PRODUCT_COLUMNS)
     for source, rows in (("orders", orders), ("parts", parts), ("parts", None)):
         if rows is not None:
-            path, schema = fresh_folder(spark), rows.schema
-            rows.repartition(3).write.parquet(path)
+            path, schema = _portions(spark, rows, 3), rows.schema
         arriving = replay(spark, path, schema, "parquet", files_per_batch=1)
         wait(jobs.start_paced_load(
             arriving, lambda portion, load: jobs.load_catalog_table(portion, name, rejects, load, ledger),
