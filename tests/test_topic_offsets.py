@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,3 +51,52 @@ def test_only_bitmaps_are_shuffled(spark, plan):
 
 def test_empty_topic(spark):
     assert to.gaps(to.read_intervals(read(spark, []))).count() == 0
+
+
+def walk(intervals):
+    runs = []
+    for first, last in sorted(intervals):
+        if runs and first <= runs[-1][1] + 1:
+            runs[-1][1] = max(runs[-1][1], last)
+        else:
+            runs.append([first, last])
+    return runs
+
+
+@pytest.mark.parametrize("longest", [3, 40, 400])
+def test_stretches_change_nothing(spark, monkeypatch, longest):
+    """Stretches of eight offsets, with intervals over many of them, null topics and rows that come twice."""
+    monkeypatch.setattr(to, "STRETCH_BITS", 3)
+    rng = random.Random(longest)
+    own = {name: [(first, first + rng.randint(0, longest)) for first in (rng.randint(0, 3000) for _ in range(150))]
+           for name in ("t", None)}
+    rows = [(name, 0, *one) for name, pairs in own.items() for one in [*pairs, *pairs[:20]]]
+    found = to.merged(spark.createDataFrame(rows, "topic string, partition int, first long, last long"))
+    runs = {name: walk(pairs) for name, pairs in own.items()}
+    assert sorted(map(str, found.collect())) == sorted(str(row) for row in spark.createDataFrame(
+        [(name, 0, *run) for name in own for run in runs[name]], found.schema).collect())
+    holes = {(name, 0, a[1] + 1, b[0] - 1, b[0] - a[1] - 1) for name in own for a, b in zip(runs[name], runs[name][1:])}
+    assert as_set(to.gaps(found)) == holes
+    start = {(name, 0, 0, runs[name][0][0] - 1, runs[name][0][0]) for name in own if runs[name][0][0] > 0}
+    assert as_set(to.gaps(found, earliest=0)) == holes | start
+
+
+def test_no_task_gets_all_intervals_of_a_partition(spark):
+    """Every other offset was read: the tasks that merge get a stretch each, and one row of it goes on."""
+    count = 4 * 2**to.STRETCH_BITS // 64
+    every = spark.range(count).selectExpr("'t' AS topic", "0 AS partition", "id * 64 AS first", "id * 64 AS last")
+    assert to.in_stretches(every).groupBy("_stretch").count().agg(F.max("count")).first()[0] == count / 4
+    assert to.merged(every).count() == count and to.gaps(to.merged(every)).count() == count - 1
+
+
+def test_windows_over_whole_partitions_see_stretches_only(spark, plan):
+    every = spark.createDataFrame([("t", 0, 0, 9), ("t", 0, 20, 30)], "topic string, partition int, first long, last long")
+    text = plan(to.gaps(every)).split("== Physical Plan ==")[1]
+    whole = re.findall(r"windowspecdefinition\(topic#\d+, partition#\d+, ([a-z_]+)#", text)
+    assert whole and set(whole) == {"_stretch"}
+
+
+def test_messages_are_not_sorted(spark, plan):
+    rows = spark.range(1000).selectExpr("'t' AS topic", "0 AS partition", "id AS offset")
+    text = plan(to.offset_words(rows)).split("== Physical Plan ==")[1]
+    assert "Sort" not in text and text.index("functions=[bit_or(") < text.index("Exchange") < text.index("partial_bit_or")
