@@ -26,18 +26,19 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.shared import free_name, text_of
-from sluiceway.llm.token_counts import Merges, blocks, merge
+from sluiceway.llm.token_counts import Merges, merge
 
 NO_RANK = 2**31 - 1
 BUCKETS = 16384
 #: Characters that are encoded at once; changes no result.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
 
 # Fixed value: characters with the Unicode property White_Space, as a Java character class.
 SPACES = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -203,17 +204,33 @@ class Encoder:
         return out
 
 
+def text_blocks(batch: pa.Array, chars: int) -> Iterator[list[str]]:
+    """Texts of a batch, about so many characters at once; only those become Python strings. Null counts as empty."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(batch):
+        room = chars + (int(ends[start - 1]) if start else 0)
+        end = max(start + 1, int(np.searchsorted(ends, room, side="right")))
+        yield [one or "" for one in batch.slice(start, end - start).to_pylist()]
+        start = end
+
+
+def id_lists(found: list[np.ndarray]) -> pa.Array:
+    """A list of ids for each text."""
+    starts = np.concatenate(([0], np.cumsum([len(one) for one in found])))
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text", into: str = "ids") -> DataFrame:
     """``docs`` with the token ids of each text; the name gets underscores until it is free."""
     merges = merges_of(ranks, pattern)
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(ranks, merges)
         for batch in batches:
-            texts = [one or "" for one in batch]
-            for block in blocks(texts, BLOCK_CHARS):  # ids leave block by block, so few are held
-                yield pd.Series(encoder.encode(block), dtype=object)
+            for block in text_blocks(batch, BLOCK_CHARS):  # ids leave block by block, so few are held
+                yield id_lists(encoder.encode(block))
 
     return docs.withColumn(free_name(docs.columns, into), encoded.asNondeterministic()(F.col(text).cast("string")))
 
